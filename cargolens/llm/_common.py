@@ -38,3 +38,11 @@ def text_or_empty(name: str = "text") -> Column:
 def bucket_of(doc_id: Column, n: int) -> Column:
     """crc32 of the id's decimal text, modulo ``n`` (null ids count as empty text)."""
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(n))
+
+
+def fresh(df: DataFrame, base: str) -> str:
+    """A column name that ``df`` doesn't have, whatever its case."""
+    taken, name = {c.lower() for c in df.columns}, f"_{base}"
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, packing
+from . import bpe, exact_dedup, near_dedup, packing
 from ._common import table
 
 
@@ -16,6 +16,14 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     return str(public_tokenizers.path(name))
 
 
+def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.groups(table(spark, sf_dir, "documents"))
+
+
+def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_groups(table(spark, sf_dir, "documents"), k=3, percent=85)
+
+
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = packing.pieces(table(spark, sf_dir, "documents"), tokenizer_path(), capacity=2048, end_id=0)
     return packing.pack(cut, capacity=2048)
@@ -26,6 +34,8 @@ def op8_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_exact_dedup": op2_exact_dedup,
+    "op10_minhash_near_dedup": op10_minhash_near_dedup,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op8_bpe_automaton": op8_bpe_automaton,
 }
