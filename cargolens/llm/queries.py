@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, exact_dedup, near_dedup, packing
+from . import bpe, exact_dedup, near_dedup, packing, syncmers
 from ._common import table
 
 
@@ -24,6 +24,10 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_groups(table(spark, sf_dir, "documents"), k=3, percent=85)
 
 
+def op4_closed_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return syncmers.fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = packing.pieces(table(spark, sf_dir, "documents"), tokenizer_path(), capacity=2048, end_id=0)
     return packing.pack(cut, capacity=2048)
@@ -36,6 +40,7 @@ def op8_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_exact_dedup": op2_exact_dedup,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
+    "op4_closed_syncmers": op4_closed_syncmers,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op8_bpe_automaton": op8_bpe_automaton,
 }
