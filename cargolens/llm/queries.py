@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, exact_dedup, near_dedup, packing, quality, syncmers, toxicity, url_filter
+from . import bpe, exact_dedup, licences, near_dedup, packing, quality, secrets, syncmers, toxicity, url_filter
 from ._common import table
 
 
@@ -48,11 +48,20 @@ def op4_closed_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return syncmers.fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op5_markov_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return secrets.scan(docs, secrets.train(secrets.samples_from(docs)))
+
+
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = packing.pieces(table(spark, sf_dir, "documents"), tokenizer_path(), capacity=2048, end_id=0)
     return packing.pack(cut, capacity=2048)
 
 
+def op7_licence_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan(table(spark, sf_dir, "documents"), licences.fit())
+
+
 def op8_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode(table(spark, sf_dir, "documents"), tokenizer_path())
 
@@ -68,7 +77,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
     "op3_counterfactual_toxicity": op3_counterfactual_toxicity,
     "op4_closed_syncmers": op4_closed_syncmers,
+    "op5_markov_secrets": op5_markov_secrets,
     "op6_best_fit_packing": op6_best_fit_packing,
+    "op7_licence_paragraphs": op7_licence_paragraphs,
     "op8_bpe_automaton": op8_bpe_automaton,
     "op9_compression_quality": op9_compression_quality,
 }
@@ -91,5 +102,5 @@ FROM hp LEFT JOIN hits USING (page_id, host, path)""",
 WITH n AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents)
 SELECT doc_id, min(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
        doc_id = min(doc_id) OVER (PARTITION BY t) AS kept, sha256(t) AS text_sha256
-FROM n""".replace("\\", "\"),
+FROM n""",
 }
