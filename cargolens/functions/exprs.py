@@ -129,15 +129,18 @@ def year_month(c: str | Column) -> Column:
 
 
 def half_even(c: str | Column, digits: int = 0) -> Column:
-    return F.bround(col(c), digits)
+    """Rounded half to even after scaling in floating point, as array libraries do
+    (``bround`` looks at the exact decimal digits and differs in the last place)."""
+    scale = float(10**digits)
+    return F.rint(col(c).cast("double") * scale) / scale
 
 
 def delay_ratio(delayed: str | Column, total: str | Column) -> Column:
-    return F.bround(col(delayed) / col(total), 4)
+    return half_even(col(delayed) / col(total), 4)
 
 
 def inverse_delay(q95: str | Column) -> Column:
-    return F.when(col(q95) <= 0, F.lit(1.0)).otherwise(F.bround(1 / col(q95), 4))
+    return F.when(col(q95) <= 0, F.lit(1.0)).otherwise(half_even(1 / col(q95), 4))
 
 
 def utilization(count: str | Column, teu: str | Column, whole: bool = False) -> Column:

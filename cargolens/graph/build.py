@@ -46,23 +46,23 @@ def container_rows(shipments: DataFrame) -> DataFrame:
 
 def _cargo() -> list:
     c = "cargo_count"
-    return [X.last_of(c, _D).alias(f"{c}_last"), F.max(c).alias(f"{c}_max"), F.bround(F.avg(c), 1).alias(f"{c}_mean"), F.min(c).alias(f"{c}_min"), F.sum(c).alias(f"{c}_sum")]
+    return [X.last_of(c, _D).alias(f"{c}_last"), F.max(c).alias(f"{c}_max"), X.half_even(F.avg(c), 1).alias(f"{c}_mean"), F.min(c).alias(f"{c}_min"), F.sum(c).alias(f"{c}_sum")]
 
 
 def _delays(brief: bool = False) -> list:
     d = "arrival_date_delay"
     out = [F.count_if(F.col(d) > 0).alias("delay_count")]
     if not brief:
-        out += [X.last_of(d, _D).cast("long").alias("delay_days_last"), F.max(d).cast("long").alias("delay_days_max"), F.bround(F.avg(d), 0).cast("long").alias("delay_days_mean"), F.min(d).cast("long").alias("delay_days_min")]
+        out += [X.last_of(d, _D).cast("long").alias("delay_days_last"), F.max(d).cast("long").alias("delay_days_max"), X.half_even(F.avg(d), 0).cast("long").alias("delay_days_mean"), F.min(d).cast("long").alias("delay_days_min")]
     return [*out, F.percentile(d, 0.5).alias("_q50"), F.percentile(d, 0.95).alias("_q95"), F.count("*").alias("shipment_count"), F.min(_D).alias("shipment_date_first"), F.max(_D).alias("shipment_date_last")]
 
 
 def _teu() -> list:
-    return [X.last_of("teu", _D).alias("teu_last"), F.max("teu").alias("teu_max"), F.bround(F.avg("teu"), 1).alias("teu_mean"), F.min("teu").alias("teu_min"), F.round(F.coalesce(F.sum("teu"), F.lit(0.0)), 4).alias("teu_sum")]
+    return [X.last_of("teu", _D).alias("teu_last"), F.max("teu").alias("teu_max"), X.half_even(F.avg("teu"), 1).alias("teu_mean"), F.min("teu").alias("teu_min"), F.round(F.coalesce(F.sum("teu"), F.lit(0.0)), 4).alias("teu_sum")]
 
 
 def _teu_sum() -> list:
-    return [F.bround(F.coalesce(F.sum("teu"), F.lit(0.0)), 1).alias("teu_sum")]
+    return [X.half_even(F.coalesce(F.sum("teu"), F.lit(0.0)), 1).alias("teu_sum")]
 
 
 def _finished(df: DataFrame, edge: bool) -> DataFrame:
@@ -70,7 +70,7 @@ def _finished(df: DataFrame, edge: bool) -> DataFrame:
     df = df.withColumn("delay_count_ratio", X.delay_ratio("delay_count", "shipment_count"))
     if edge:
         df = df.withColumn("delay_days_q95i", X.inverse_delay("_q95"))
-    return df.withColumn("delay_days_q50", F.bround("_q50", 0).cast("long")).withColumn("delay_days_q95", F.bround("_q95", 0).cast("long")).drop("_q50", "_q95")
+    return df.withColumn("delay_days_q50", X.half_even("_q50", 0).cast("long")).withColumn("delay_days_q95", X.half_even("_q95", 0).cast("long")).drop("_q50", "_q95")
 
 
 def _filled(rows: DataFrame, *keys: str) -> DataFrame:

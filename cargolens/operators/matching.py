@@ -237,8 +237,9 @@ def group_companies(df: DataFrame, name: str, address: str, sizes: Sequence[int]
     touched = current.select("group", F.explode(abbreviated).alias("word")).distinct().groupBy("group").agg(F.collect_set("word").alias("words"))  # at most the list's length
     current = current.join(touched, "group", "left")
     text = F.col("group")
-    for word, short in LONG_WORDS.items():
-        text = F.when(F.array_contains(F.coalesce("words", F.array().cast("array<string>")), word), F.replace(text, F.lit(short), F.lit(word))).otherwise(text)
+    words = F.coalesce("words", F.array().cast("array<string>"))
+    for word, short in LONG_WORDS.items():  # replacing "" changes nothing, so the expression stays a chain
+        text = F.replace(text, F.when(F.array_contains(words, word), F.lit(short)).otherwise(F.lit("")), F.lit(word))
     mapping = materialize(current.select("_raw", text.alias("_group")), "company")
     out = df.join(mapping, "_raw", "left")
     firsts = out.filter(F.col("_group").isNotNull() & F.col(address).isNotNull()).groupBy("_group").agg(F.min(address).alias("_address"))
