@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from ..functions import exprs as X
 from ..graph import algorithms as G
 from ..graph import build as B
+from ..graph import communities as K
+from ..graph import paths
 from ..graph.project import Projection
 from ..operators import cleaning as C
 from ..operators import matching as M
@@ -594,6 +596,17 @@ ORACLE_SQL["gra03_scc"] = ORACLE_SQL["gra02_wcc"]  # with every edge reversed as
 QUERIES["gra04_label_propagation"] = lambda spark, sf: G.label_propagation(_parties(spark, sf))
 
 
+QUERIES["gra05_louvain"] = lambda spark, sf: K.louvain(_parties(spark, sf))
+QUERIES["gra06_leiden"] = lambda spark, sf: K.leiden(_parties(spark, sf))
+QUERIES["gra10_betweenness"] = lambda spark, sf: paths.betweenness(_parties(spark, sf)).withColumn("betweenness", F.round("betweenness", 6))
+QUERIES["gra14_without_missing_names"] = lambda spark, sf: _graph(spark, sf, _PARTIES, _PARTY_EDGES).named().nodes.select("id")
+ORACLE_SQL["gra14_without_missing_names"] = V.oracle(f", n0 AS ({_nodes_sql(_PARTIES)}) SELECT id FROM n0 WHERE NOT ends_with(id, ':N/A')")
+QUERIES["adm_counts_by_label"] = lambda spark, sf: _graph(spark, sf).nodes.groupBy("label").agg(F.count("*").alias("n"))
+ORACLE_SQL["adm_counts_by_label"] = V.oracle(f", n0 AS ({_nodes_sql(tuple(B.KEYS))}) SELECT split_part(id, ':', 1) AS label, count(*) AS n FROM n0 GROUP BY 1")
+QUERIES["adm_counts_by_type"] = lambda spark, sf: _graph(spark, sf).edges.groupBy("type").agg(F.count("*").alias("n"))
+ORACLE_SQL["adm_counts_by_type"] = V.oracle(f"SELECT type, count(*) AS n FROM ({_edges_sql(tuple(B.EDGES))}) GROUP BY type")
+
+
 def _ranked(kinds: tuple[str, ...], labels: tuple[str, ...], weight: str | None = None, scaled: bool = False, directed: bool = True):
     def run(spark: SparkSession, sf: str) -> DataFrame:
         out = G.pagerank(_graph(spark, sf, labels, kinds), weight, directed=directed)
