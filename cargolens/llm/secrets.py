@@ -43,6 +43,8 @@ ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 #: ratio (nats) of a pair from which a token counts as random.
 SAMPLE_DOCUMENTS = 20_000
 THRESHOLD = 1.2
+#: Tokens of fewer different characters are rulers and the like, whatever their pairs.
+DISTINCT_LEAST = 8
 MASK = "[SECRET]"
 
 _SPAN = "array<struct<start:int,kind:int,end:int>>"
@@ -98,11 +100,16 @@ def train(samples: DataFrame, smoothing: float = 0.5) -> list[float]:
     seen: dict[tuple[int, str], int] = {(r["label"], r["pair"]): r["n"] for r in counts.collect()}  # at most two rows for each pair of the alphabet
     if {label for label, _ in seen} != {0, 1}:
         return [0.0] * (size * size)
+    of = lambda y, a, b: seen.get((y, a + b), 0)
+    ends = {(y, b): sum(of(y, a, b) for a in ALPHABET) for y in (0, 1) for b in ALPHABET}
+    all_ = {y: sum(ends[y, b] for b in ALPHABET) for y in (0, 1)}
+    # a pair that was not seen falls back on how common its second character is
+    alone = {(y, b): (ends[y, b] + smoothing) / (all_[y] + smoothing * size) for y in (0, 1) for b in ALPHABET}
     out = []
     for a in ALPHABET:
-        total = {y: sum(seen.get((y, a + b), 0) for b in ALPHABET) for y in (0, 1)}
+        total = {y: sum(of(y, a, b) for b in ALPHABET) for y in (0, 1)}
         for b in ALPHABET:
-            p, q = ((seen.get((y, a + b), 0) + smoothing) / (total[y] + smoothing * size) for y in (1, 0))
+            p, q = ((of(y, a, b) + smoothing * size * alone[y, b]) / (total[y] + smoothing * size) for y in (1, 0))
             out.append(round(math.log(p / q), 4))
     return out
 
@@ -122,7 +129,7 @@ def scanned(docs: DataFrame, ratios: list[float], text_col: str = "text", thresh
     out = docs.withColumn(names["text"], text_or_empty(text_col))
     out = out.withColumns({names[k]: c for k, c in base_spans(text).items()})
     tokens = F.regexp_extract_all(text, F.lit(TOKEN), F.lit(0))
-    random = F.array_distinct(F.filter(tokens, lambda t: randomness(t, ratios) >= threshold))
+    random = F.array_distinct(F.filter(tokens, lambda t: (F.size(F.array_distinct(F.split(t, ""))) >= DISTINCT_LEAST) & (randomness(t, ratios) >= threshold)))
     out = out.withColumn(names["random"], random)
     base = F.concat(*(F.col(names[k]) for k in KINDS[:3]))
     added = F.when(F.size(names["random"]) > 0, _spans(text, TOKEN, 3, lambda t: F.array_contains(F.col(names["random"]), t)))
