@@ -14,8 +14,9 @@
 5. Where the members of a bucket still lie in several components, further rounds
    take another centre from the bucket's largest component, one picked by a hash
    in each bucket, and test only what lies outside that component. What is then
-   left outside is tested against the whole bucket. So every pair that shares a
-   bucket is either confirmed, refuted, or already in one component.
+   left outside goes through an exact prefix join (``_rest``) with all members of
+   such buckets. So every pair that shares a bucket is either confirmed, refuted,
+   or already in one component, and no bucket is ever multiplied out.
 
 At the threshold a pair shares a bucket with probability 1 - (1 - J^r)^b, which
 is over 1 - 1e-8 with the parameters that ``band_plan`` picks.
@@ -44,6 +45,8 @@ from ._common import bounded, map_arrow, text_or_empty
 BINS = 240
 #: Rounds with one more centre per bucket before the rest is tested in full.
 STAR_ROUNDS = 2
+#: Frequent shingles whose counts order the exact join of the rest.
+FREQUENT_SHINGLES = 300_000
 WORD_CACHE = 400_000
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _MIX1, _MIX2, _MIX3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
@@ -198,6 +201,57 @@ def _tested(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, bins: int, perc
     return materialize(map_arrow(full, _confirm(percent), "a long, b long"), "links")
 
 
+def _rest(residue: DataFrame, outside: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs of a document outside its bucket's largest component and a document of
+    another component that may reach the threshold, by an exact prefix join.
+
+    In one order of all shingles, two sets with an overlap of ``o`` share a first
+    shingle, at positions i and j, and from there on neither has fewer than ``o``.
+    So only shingles near the front are joined on, and only pairs whose positions
+    and sizes leave room for the overlap come out. Rare shingles stand in front:
+    what many copies have in common is not joined on. Any order is exact, so the
+    counts of frequent shingles are kept from a count up at which they are few.
+    """
+    own = sets.join(residue.select("id"), "id", "left_semi")
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            raw = b"".join(batch.column(0).to_pylist())
+            yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(raw, np.int64))], names=["shingle"])
+
+    counts = map_arrow(own.select("shingles"), spread, "shingle long").groupBy("shingle").agg(F.count("*").alias("df")).filter("df > 2")
+    counts = materialize(counts, "counts")
+    sizes = {r["level"]: r["n"] for r in counts.groupBy(F.floor(F.log2("df")).cast("int").alias("level")).agg(F.count("*").alias("n")).collect()}  # a row for each power of two
+    level = min(sizes, default=0)
+    while sum(n for k, n in sizes.items() if k >= level) > FREQUENT_SHINGLES:
+        level += 1
+    listed = counts.filter(F.col("df") >= 2**level).toPandas() if sizes else None  # at most FREQUENT_SHINGLES rows
+    known = np.sort(listed["shingle"].to_numpy().view(np.uint64)) if listed is not None else np.empty(0, np.uint64)
+    often = listed["df"].to_numpy()[np.argsort(listed["shingle"].to_numpy().view(np.uint64))] if listed is not None else np.empty(0, np.int64)
+
+    def prefix(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cols: list[list[np.ndarray]] = [[], [], [], []]
+            for node, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                s = np.frombuffer(raw, np.uint64)
+                df = np.zeros(len(s), np.int64)
+                if len(known):
+                    at = np.minimum(np.searchsorted(known, s), len(known) - 1)
+                    df = np.where(known[at] == s, often[at], 0)
+                n = len(s) - -(-len(s) * percent // 100) + 1  # a smaller partner shares at least this part of the set
+                front = s[np.lexsort((s, df))[:n]]
+                for c, x in zip(cols, (np.full(len(front), node), front.view(np.int64), np.arange(len(front)), np.full(len(front), len(s))), strict=True):
+                    c.append(x)
+            joined = [np.concatenate(c) if c else np.empty(0, np.int64) for c in cols]
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in joined], names=["id", "shingle", "at", "n"])
+
+    fronts = materialize(map_arrow(own.select("id", "shingles"), prefix, "id long, shingle long, at long, n long").join(residue, "id"), "fronts")
+    left = fronts.join(outside, F.col("id") == F.col("out"), "left_semi").select("shingle", F.col("id").alias("x"), F.col("at").alias("i"), F.col("n").alias("nx"), F.col("component").alias("cx"))
+    right = fronts.select("shingle", F.col("id").alias("y"), F.col("at").alias("j"), F.col("n").alias("ny"), F.col("component").alias("cy"))
+    room = f"{100 + percent} * least(nx - i, ny - j) >= {percent} * (nx + ny)"
+    return materialize(left, "outside").join(right, "shingle").filter(f"cx <> cy and {room}").select(*_ordered("x", "y")).distinct()
+
+
 def _ordered(x: str, y: str) -> list:
     return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
@@ -236,16 +290,14 @@ def near_groups(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "d
         shared = placed.select("key", "id", "n")
         outside = placed.filter("component <> main")
         if turn < STAR_ROUNDS:
-            pairs = outside.filter(sized("n", "nc")).select(*_ordered("id", "centre"))
+            pairs = outside.filter(sized("n", "nc")).select(*_ordered("id", "centre")).distinct()
         else:
-            inside = placed.select("key", F.col("id").alias("other"), F.col("n").alias("m"), F.col("component").alias("theirs"))
-            pairs = outside.select("key", "id", "n", "component").join(inside, "key").filter("component <> theirs").filter(sized("n", "m")).select(*_ordered("id", "other"))
-        pairs = materialize(pairs.distinct().join(tried, ["a", "b"], "left_anti"), "pairs")
+            pairs = _rest(placed.select("id", "component").distinct(), outside.select(F.col("id").alias("out")).distinct(), sets, percent)
+        pairs = materialize(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
         if not pairs.limit(1).count():
             continue
         new = _tested(pairs, signed, sets, bins, percent)
         tried = tried.unionByName(pairs)
-        links = links.unionByName(new)
         joined = materialize(components(joined.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(new), "a", "b"), "components")
 
     out = sigs.select("id", "n", "d1", "d2").join(classes, ["d1", "d2"], "left")
