@@ -11,9 +11,9 @@
 4. Pairs are first held against the two signatures; those that are further below
    the threshold than six standard deviations go. The others are confirmed on
    the full sets.
-5. Where the members of a bucket still lie in several components, further rounds
-   take another centre from the bucket's largest component, one picked by a hash
-   in each bucket, and test only what lies outside that component. What is then
+5. Where the members of a bucket still lie in several components, a further round
+   takes another centre from the bucket's largest component, one picked by a hash
+   in each bucket, and tests only what lies outside that component. What is then
    left outside goes through an exact prefix join (``_rest``) with all members of
    such buckets. So every pair that shares a bucket is either confirmed, refuted,
    or already in one component, and no bucket is ever multiplied out.
@@ -43,8 +43,8 @@ from ..session import materialize
 from ._common import bounded, map_arrow, text_or_empty
 
 BINS = 240
-#: Rounds with one more centre per bucket before the rest is tested in full.
-STAR_ROUNDS = 2
+#: Rounds with one more centre per bucket before the rest goes to the prefix join.
+STAR_ROUNDS = 1
 #: Frequent shingles whose counts order the exact join of the rest.
 FREQUENT_SHINGLES = 300_000
 WORD_CACHE = 400_000
@@ -252,6 +252,16 @@ def _rest(residue: DataFrame, outside: DataFrame, sets: DataFrame, percent: int)
     return materialize(left, "outside").join(right, "shingle").filter(f"cx <> cy and {room}").select(*_ordered("x", "y")).distinct()
 
 
+def _merged(joined: DataFrame, links: DataFrame) -> DataFrame:
+    """Components after further links: only the graph of the components they connect is run through."""
+    of = lambda end, name: joined.select(F.col("node").alias(end), F.col("component").alias(name))
+    between = links.join(of("a", "ca"), "a", "left").join(of("b", "cb"), "b", "left").select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")).filter("a <> b")
+    over = materialize(components(between, "a", "b"), "over").select(F.col("node").alias("old"), F.col("component").alias("new"))
+    moved = joined.join(over, joined["component"] == over["old"], "left").select("node", F.coalesce("new", "component").alias("component"))
+    alone = over.join(joined.select("node"), over["old"] == joined["node"], "left_anti").select(F.col("old").alias("node"), F.col("new").alias("component"))
+    return materialize(moved.unionByName(alone), "components")
+
+
 def _ordered(x: str, y: str) -> list:
     return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
@@ -298,7 +308,8 @@ def near_groups(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "d
             continue
         new = _tested(pairs, signed, sets, bins, percent)
         tried = tried.unionByName(pairs)
-        joined = materialize(components(joined.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(new), "a", "b"), "components")
+        if new.limit(1).count():
+            joined = _merged(joined, new)
 
     out = sigs.select("id", "n", "d1", "d2").join(classes, ["d1", "d2"], "left")
     out = out.join(joined.withColumnRenamed("node", "rep"), "rep", "left")
