@@ -58,7 +58,7 @@ def _delays(brief: bool = False) -> list:
 
 
 def _teu() -> list:
-    return [X.last_of("teu", _D).alias("teu_last"), F.max("teu").alias("teu_max"), X.half_even(F.avg("teu"), 1).alias("teu_mean"), F.min("teu").alias("teu_min"), F.round(F.coalesce(F.sum("teu"), F.lit(0.0)), 4).alias("teu_sum")]
+    return [X.last_of("teu", _D).alias("teu_last"), F.max("teu").alias("teu_max"), X.half_even(F.round(F.sum("teu"), 6) / F.count("teu"), 1).alias("teu_mean"), F.min("teu").alias("teu_min"), F.round(F.coalesce(F.sum("teu"), F.lit(0.0)), 4).alias("teu_sum")]
 
 
 def _teu_sum() -> list:

@@ -52,7 +52,7 @@ def _measures(*names: str) -> list:
 
 def _per_container(total: str, name: str):
     value, mean = F.sum(total), F.avg("containers_count")
-    return F.round(F.when(mean.isNull() | (mean == 0) | value.isNull() | (value == 0), F.lit(None)).otherwise(value / mean), 6).alias(name)
+    return X.half_even(F.when(mean.isNull() | (mean == 0) | value.isNull() | (value == 0), F.lit(None)).otherwise(F.round(value, 2) / mean), 4).alias(name)
 
 
 def cnee_carriers(b: DataFrame) -> DataFrame:

@@ -509,7 +509,7 @@ def _arg_max(c: str) -> str:
 _CARGO_SQL = f"{_arg_max('cargo')} AS cargo_count_last, max(cargo) AS cargo_count_max, round_even(avg(cargo), 1) AS cargo_count_mean, min(cargo) AS cargo_count_min, CAST(sum(cargo) AS BIGINT) AS cargo_count_sum"
 _BRIEF_SQL = "count(*) FILTER (arrival_date_delay > 0) AS delay_count, round_even(count(*) FILTER (arrival_date_delay > 0) / count(*), 4) AS delay_count_ratio, CAST(round_even(quantile_cont(arrival_date_delay, 0.5), 0) AS BIGINT) AS delay_days_q50, CAST(round_even(quantile_cont(arrival_date_delay, 0.95), 0) AS BIGINT) AS delay_days_q95, count(*) AS shipment_count, min(arrival_date_actual) AS shipment_date_first, max(arrival_date_actual) AS shipment_date_last"
 _DELAYS_SQL = f"{_arg_max('arrival_date_delay')} AS delay_days_last, max(arrival_date_delay) AS delay_days_max, CAST(round_even(avg(arrival_date_delay), 0) AS BIGINT) AS delay_days_mean, min(arrival_date_delay) AS delay_days_min, {_BRIEF_SQL}"
-_TEU_SQL = f"{_arg_max('teu')} AS teu_last, max(teu) AS teu_max, round_even(avg(teu), 1) AS teu_mean, min(teu) AS teu_min, round(sum(teu), 4) AS teu_sum"
+_TEU_SQL = f"{_arg_max('teu')} AS teu_last, max(teu) AS teu_max, round_even(round(sum(teu), 6) / count(teu), 1) AS teu_mean, min(teu) AS teu_min, round(sum(teu), 4) AS teu_sum"
 _EDGE_SQL = "CASE WHEN quantile_cont(arrival_date_delay, 0.95) <= 0 THEN 1.0 ELSE round_even(1 / quantile_cont(arrival_date_delay, 0.95), 4) END AS delay_days_q95i, CAST(date_trunc('month', min(arrival_date_actual) - 1) AS DATE) AS valid_from"
 
 
@@ -707,7 +707,7 @@ _Q = "arrival_quarter, arrival_quarter_txt"
 _OD = "port_of_lading_continent, port_of_lading_country, port_of_lading_code, port_of_lading, port_of_unlading_continent, port_of_unlading_country, port_of_unlading_code, port_of_unlading"
 _COUNTS = "count(shipment_id) AS shipments_count, count(DISTINCT voyage_number) AS voyages_count, count(DISTINCT container_id) AS containers_count, round(sum(cif), 2) AS value_sum, round(avg(m.containers_count), 6) AS containers_count_avg"
 _SUMS = "count(shipment_id) AS shipments_count, round(sum(cif), 2) AS value_sum, round(sum(weight_kg), 2) AS weight_sum"
-_PER = "round(CASE WHEN avg(m.containers_count) IS NULL OR avg(m.containers_count) = 0 OR sum({c}) IS NULL OR sum({c}) = 0 THEN NULL ELSE sum({c}) / avg(m.containers_count) END, 6) AS {n}"
+_PER = "round_even(CASE WHEN avg(m.containers_count) IS NULL OR avg(m.containers_count) = 0 OR sum({c}) IS NULL OR sum({c}) = 0 THEN NULL ELSE round(sum({c}), 2) / avg(m.containers_count) END, 4) AS {n}"
 _MART_SQL = {
     "cnee_carriers": ("consignee_name, consignee_address, carrier_code, vessel_name, port_of_lading_country", _COUNTS),
     "cnee_shippers": ("consignee_name, consignee_address, carrier_code, shipper_name, port_of_lading_country", _COUNTS),
