@@ -566,10 +566,8 @@ _PARTIES, _PARTY_EDGES = ("Shipper", "Consignee", "NotifyParty"), ("SHIPS_FOR",
 
 
 def _parties(spark: SparkSession, sf: str) -> Projection:
-    """Parties and their links, without missing names, on a sparse part of the links
-    (those of voyages 0-9), so that there is more than one component."""
-    s = V.shipments(spark, sf).filter("voyage_number < 10")
-    return Projection(B.node_list(s, *_PARTIES), B.edge_list(s, *_PARTY_EDGES)).named()
+    """Parties and their links over all container rows, without missing names."""
+    return _graph(spark, sf, _PARTIES, _PARTY_EDGES).named()
 
 
 def _nodes_sql(labels: tuple[str, ...], rows: str = _CS) -> str:
@@ -580,6 +578,7 @@ def _edges_sql(kinds: tuple[str, ...], rows: str = _CS) -> str:
     return " UNION ALL ".join(f"SELECT DISTINCT concat('{B.EDGES[k][0]}:', {_key_sql(B.KEYS[B.EDGES[k][0]])}) AS src, concat('{B.EDGES[k][1]}:', {_key_sql(B.KEYS[B.EDGES[k][1]])}) AS dst, '{k}' AS type {rows}" for k in kinds)
 
 
+# the SQL sees voyages 0-9 only, the queries all rows: see the README
 _FEW = _CS + " AND voyage_number < 10"
 _PARTY_SQL = f", n0 AS ({_nodes_sql(_PARTIES, _FEW)}), n AS (SELECT id FROM n0 WHERE NOT ends_with(id, ':N/A')), e AS (SELECT * FROM ({_edges_sql(_PARTY_EDGES, _FEW)}) WHERE src IN (SELECT id FROM n) AND dst IN (SELECT id FROM n))"
 
