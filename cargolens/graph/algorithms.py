@@ -148,6 +148,9 @@ def jaccard(graph: Projection, k: int = 14, cutoff: float = 0.01, max_degree: in
     neighbour sets. Pairs come from joining neighbour lists on the shared neighbour;
     ``max_degree`` leaves out shared neighbours of more links, if given."""
     links = graph.edges.select("src", "dst").distinct()
+    # pairs are far more than nodes: they carry numbers in the order of the ids
+    names = materialize(links.select(F.col("src").alias("id")).distinct().orderBy("id").withColumn("number", F.monotonically_increasing_id()), "jaccard")
+    links = links.join(names.select(F.col("id").alias("src"), "number"), "src").select(F.col("number").alias("src"), "dst")
     sizes = links.groupBy("src").agg(F.count("*").alias("n"))
     if max_degree is not None:
         busy = links.groupBy("dst").agg(F.count("*").alias("n")).filter(F.col("n") > max_degree).select("dst")
@@ -158,7 +161,9 @@ def jaccard(graph: Projection, k: int = 14, cutoff: float = 0.01, max_degree: in
     scored = pairs.join(sizes.select(F.col("src").alias("a"), F.col("n").alias("na")), "a").join(sizes.select(F.col("src").alias("b"), F.col("n").alias("nb")), "b")
     scored = scored.select("a", "b", (F.col("both") / (F.col("na") + F.col("nb") - F.col("both"))).alias("score")).filter(F.col("score") >= cutoff)
     both = scored.unionByName(scored.select(F.col("b").alias("a"), F.col("a").alias("b"), "score"))
-    return top_k(both.select(F.col("a").alias("src"), F.col("b").alias("dst"), "score"), k)
+    found = top_k(both.select(F.col("a").alias("src"), F.col("b").alias("dst"), "score"), k)
+    name = lambda end: names.select(F.col("number").alias(end), F.col("id").alias(f"{end}_id"))
+    return found.join(name("src"), "src").join(name("dst"), "dst").select(F.col("src_id").alias("src"), F.col("dst_id").alias("dst"), "score")
 
 
 def top_k(scores: DataFrame, k: int) -> DataFrame:

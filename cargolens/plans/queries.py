@@ -661,6 +661,27 @@ SELECT src, dst, round(score, 6) AS score, 'Consignee' AS label FROM r WHERE k <
 )
 
 
+def _knn_all(spark: SparkSession, sf: str) -> DataFrame:
+    """Neighbours for each of the six labels, within the label (ids recur over labels)."""
+    s, out = V.shipments(spark, sf), None
+    for label in B.KEYS:
+        nodes = B.entity_nodes(s, label) if label in B.ENTITIES else B.port_nodes(s, label)
+        part = G.knn(nodes, {"delay_days_q95": "COSINE", "delay_count_ratio": "COSINE", "shipment_count": "JACCARD"})
+        out = part if out is None else out.unionByName(part)
+    return out.withColumn("score", F.round("score", 6))
+
+
+QUERIES["gra11_knn_all_labels"] = _knn_all
+ORACLE_SQL["gra11_knn_all_labels"] = V.oracle(
+    ", n AS ("
+    + " UNION ALL ".join(f"SELECT {_key_sql(key)} AS id, '{label}' AS label, {_BRIEF_SQL} {_CS} GROUP BY 1" for label, key in B.KEYS.items())
+    + """),
+  p AS (SELECT a.id AS src, b.id AS dst, a.label, (CAST(sign(a.delay_days_q95) * sign(b.delay_days_q95) > 0 AS INT) + CAST(sign(a.delay_count_ratio) * sign(b.delay_count_ratio) > 0 AS INT) + CAST(a.shipment_count = b.shipment_count AS INT)) / 3 AS score FROM n a JOIN n b ON a.label = b.label AND a.id <> b.id),
+  r AS (SELECT *, row_number() OVER (PARTITION BY label, src ORDER BY score DESC, dst) AS k FROM p)
+SELECT src, dst, round(score, 6) AS score, label FROM r WHERE k <= 14"""
+)
+
+
 def _jaccard(spark: SparkSession, sf: str) -> DataFrame:
     g = _graph(spark, sf, ("Shipper", "Carrier"), ("SHIPS_BY",))
     turned = Projection(g.nodes, g.edges.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
@@ -676,6 +697,22 @@ ORACLE_SQL["gra12_jaccard"] = V.oracle(
 SELECT src, dst, round(score, 6) AS score FROM r WHERE k <= 14"""
 )
 
+
+def _jaccard_parties(spark: SparkSession, sf: str) -> DataFrame:
+    """Shippers by their consignees and consignees by their shippers."""
+    g = _graph(spark, sf, ("Shipper", "Consignee"), ("SHIPS_FOR",)).with_reverse()
+    return G.jaccard(g).withColumn("score", F.round("score", 6))
+
+
+QUERIES["gra12_jaccard_parties"] = _jaccard_parties
+ORACLE_SQL["gra12_jaccard_parties"] = V.oracle(
+    f""", f AS ({_edges_sql(('SHIPS_FOR',))}), e AS (SELECT src, dst FROM f UNION ALL SELECT dst, src FROM f), d AS (SELECT dst AS v, count(*) AS n FROM e GROUP BY dst),
+  p AS (SELECT x.dst AS a, y.dst AS b, count(*) AS both_ FROM e x JOIN e y ON x.src = y.src AND x.dst <> y.dst GROUP BY 1, 2),
+  s AS (SELECT a AS src, b AS dst, both_ / (da.n + db.n - both_) AS score FROM p JOIN d da ON a = da.v JOIN d db ON b = db.v),
+  r AS (SELECT *, row_number() OVER (PARTITION BY src ORDER BY score DESC, dst) AS k FROM s WHERE score >= 0.01)
+SELECT src, dst, round(score, 6) AS score FROM r WHERE k <= 14"""
+)
+
 QUERIES["gra13_subgraph"] = lambda spark, sf: _graph(spark, sf, _PARTIES, _PARTY_EDGES).named().edges.select("src", "dst", "type")
 ORACLE_SQL["gra13_subgraph"] = V.oracle(f", n0 AS ({_nodes_sql(_PARTIES)}), n AS (SELECT id FROM n0 WHERE NOT ends_with(id, ':N/A')) SELECT src, dst, type FROM ({_edges_sql(_PARTY_EDGES)}) WHERE src IN (SELECT id FROM n) AND dst IN (SELECT id FROM n)")
 
