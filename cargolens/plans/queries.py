@@ -596,7 +596,9 @@ QUERIES["gra04_label_propagation"] = lambda spark, sf: G.label_propagation(_part
 
 
 QUERIES["gra05_louvain"] = lambda spark, sf: K.louvain(_parties(spark, sf))
-QUERIES["gra06_leiden"] = lambda spark, sf: K.leiden(_parties(spark, sf))
+#: The reference's resolution for Leiden.
+GAMMA = 5000.0
+QUERIES["gra06_leiden"] = lambda spark, sf: K.leiden(_parties(spark, sf), gamma=GAMMA)
 QUERIES["gra10_betweenness"] = lambda spark, sf: paths.betweenness(_parties(spark, sf)).withColumn("betweenness", F.round("betweenness", 6))
 QUERIES["gra14_without_missing_names"] = lambda spark, sf: _graph(spark, sf, _PARTIES, _PARTY_EDGES).named().nodes.select("id")
 ORACLE_SQL["gra14_without_missing_names"] = V.oracle(f", n0 AS ({_nodes_sql(_PARTIES)}) SELECT id FROM n0 WHERE NOT ends_with(id, ':N/A')")
