@@ -632,7 +632,7 @@ QUERIES["gra08_pagerank_carriers"] = lambda spark, sf: G.pagerank_if_connected(_
 
 def _communities(spark: SparkSession, sf: str) -> tuple[Projection, DataFrame]:
     g = _parties(spark, sf)
-    return g, G.label_propagation(g).select("id", "community")
+    return g, K.leiden(g, gamma=GAMMA).select("id", "community")
 
 
 QUERIES["gra09_pagerank_entities"] = lambda spark, sf: (lambda gc: G.pagerank_in_communities(*gc, weight="weight"))(_communities(spark, sf))
