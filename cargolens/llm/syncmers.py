@@ -3,11 +3,11 @@
 A k-mer of code points is a closed syncmer if the least of its s-mers (by hash)
 is its first or its last one. Whether a k-mer is chosen depends on nothing
 outside it, so equal passages give equal anchors wherever they stand, and two
-chosen k-mers are never further apart than k - s. The anchors with the least
-hashes, each with its position, are the fingerprint: ``scale:hash@position``
-joined by ``;``, by position. Likeness is the Jaccard estimate of the anchors
-that lie on the commonest shift between the two texts, so that chance matches
-at scattered places don't count.
+chosen k-mers are never further apart than k - s. All anchors, each with its
+position, are the fingerprint: ``scale:hash@position`` joined by ``;``, by
+position. Likeness is the Jaccard index of the anchors, where common ones count
+that lie on the commonest shift between the two texts or next to another on the
+same shift, so that chance matches at scattered places don't count.
 
 Texts below ``SHORT`` code points also carry a finer scale, and two such texts
 are compared on it; a text too short for it has its code points as anchors.
@@ -37,11 +37,13 @@ from ._common import map_arrow, text_or_empty
 #: (k, s) of the scale for all texts and of the finer one for short texts.
 COARSE, FINE = (16, 6), (5, 2)
 SHORT = 160
-ANCHORS = 40
+#: Characters of fingerprints after which a batch of results is passed on.
+OUT_CHARS = 8 << 20
 #: Ranges of ids that one shuffle partition gets on average.
 RANGES_PER_PARTITION = 4
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 _S32 = np.uint64(32)
+Sketch = tuple[np.ndarray, np.ndarray]
 
 
 def _hashes(codes: np.ndarray, k: int) -> np.ndarray:
@@ -67,10 +69,10 @@ def anchors(codes: np.ndarray, k: int, s: int) -> tuple[np.ndarray, np.ndarray]:
     return _hashes(codes, k)[at] >> _S32, at
 
 
-def _sketch(codes: np.ndarray, k: int, s: int, size: int) -> dict[int, int]:
-    """The ``size`` least anchor hashes with their first positions."""
+def _sketch(codes: np.ndarray, k: int, s: int) -> Sketch:
+    """Ascending anchor hashes with their first positions."""
     if not len(codes):
-        return {}
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
     if len(codes) < k and k == FINE[0]:
         hashes, at = _hashes(codes, 1) >> _S32, np.arange(len(codes))
     elif len(codes) < k:
@@ -84,36 +86,44 @@ def _sketch(codes: np.ndarray, k: int, s: int, size: int) -> dict[int, int]:
     nth = np.arange(len(hashes)) - np.maximum.accumulate(np.where(new, np.arange(len(hashes)), 0))
     again = (hashes + nth.astype(np.uint64) * _A) * _B >> _S32  # the n-th occurrence is an anchor of its own
     values, first = np.unique(np.where(nth > 0, again, hashes), return_index=True)
-    return dict(zip(values[:size].tolist(), at[first[:size]].tolist(), strict=True))
+    return values, at[first]
 
 
 def codes_of(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le"), "<u4").astype(np.uint64)
 
 
-def fingerprint(codes: np.ndarray, size: int = ANCHORS) -> dict[str, dict[int, int]]:
-    out = {"c": _sketch(codes, *COARSE, size)}
+def fingerprint(codes: np.ndarray) -> dict[str, Sketch]:
+    out = {"c": _sketch(codes, *COARSE)}
     if len(codes) < SHORT:
-        out["f"] = _sketch(codes, *FINE, size)
+        out["f"] = _sketch(codes, *FINE)
     return out
 
 
-def to_text(print_: dict[str, dict[int, int]]) -> str:
-    rows = sorted((scale, at, h) for scale, found in print_.items() for h, at in found.items())
-    return ";".join(f"{scale}:{h:08x}@{at}" for scale, at, h in rows)
+def to_text(print_: dict[str, Sketch]) -> str:
+    rows = []
+    for scale, (hashes, at) in sorted(print_.items()):
+        order = np.lexsort((hashes, at))
+        rows += [f"{scale}:{h:08x}@{p}" for h, p in zip(hashes[order].tolist(), at[order].tolist(), strict=True)]
+    return ";".join(rows)
 
 
-def likeness(x: dict[str, dict[int, int]], y: dict[str, dict[int, int]], size: int = ANCHORS) -> float:
+def likeness(x: dict[str, Sketch], y: dict[str, Sketch]) -> float:
     scale = "f" if "f" in x and "f" in y else "c"
-    p, q = x[scale], y[scale]
-    if p == q:
+    (p, p_at), (q, q_at) = x[scale], y[scale]
+    if np.array_equal(p, q) and np.array_equal(p_at, q_at):
         return 1.0
-    union = sorted(p.keys() | q.keys())[:size]
-    shifts: dict[int, int] = {}
-    for h in union:
-        if h in p and h in q:
-            shifts[q[h] - p[h]] = shifts.get(q[h] - p[h], 0) + 1
-    return max(shifts.values(), default=0) / len(union)
+    _, i, j = np.intersect1d(p, q, assume_unique=True, return_indices=True)
+    if not len(i):
+        return 0.0
+    order = np.argsort(p_at[i], kind="stable")
+    shift = (q_at[j] - p_at[i])[order]
+    shifts, n = np.unique(shift, return_counts=True)
+    good = shift == shifts[np.argmax(n)]
+    same = shift[1:] == shift[:-1]
+    good[1:] |= same
+    good[:-1] |= same
+    return int(good.sum()) / (len(p) + len(q) - len(i))
 
 
 def edited(text: str, following: str) -> str:
@@ -154,8 +164,16 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = None  # (range, id, text, codes, fingerprint)
+        types = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
+        names = [id_col, "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
+
+        def packed(out: list[tuple]) -> pa.RecordBatch:
+            cols = list(zip(*out, strict=True)) or [()] * 7
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], names=names)
+
         for batch in batches:
             out: list[tuple] = []
+            size = 0
             for at, halo, doc, text in zip(*(batch.column(i).to_pylist() for i in (0, 1, 2, 4)), strict=True):
                 if halo and (last is None or last[0] != at):
                     continue  # a further row with the id of the range's first
@@ -166,11 +184,12 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                     new = edited(before, text)
                     changed = print_ if new == before else fingerprint(codes_of(new))
                     out.append((prior, len(had), hashlib.sha256(new.encode()).hexdigest(), to_text(print_), to_text(changed), likeness(print_, changed), likeness(print_, own)))
+                    size += len(out[-1][3]) + len(out[-1][4])
+                    if size > OUT_CHARS:
+                        yield packed(out)
+                        out, size = [], 0
                 last = None if halo else (at, doc, text, codes, own)
-            cols = list(zip(*out, strict=True)) or [()] * 7
-            types = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
-            names = [id_col, "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], names=names)
+            yield packed(out)
 
     schema = f"{id_col} long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
     return map_arrow(with_successor(docs, id_col, text_col), run, schema)
