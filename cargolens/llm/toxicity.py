@@ -46,6 +46,9 @@ IDENTITY_TERMS: tuple[tuple[str, ...], ...] = (
     ("immigrants", "natives", "refugees", "foreigners"),
     ("disabled", "blind", "deaf", "old", "young"),
 )
+#: Neutral mentions that are added to the sample, one for each term, so that a
+#: corpus that names no group has counterfactuals too.
+MENTIONS = ("The {} came to town", "A story about {} was read at school", "Many {} people live in this street")
 SENTENCE = re.compile(r"[.!?\n]+")
 
 
@@ -72,6 +75,10 @@ def counterfactuals(text: str, terms: Sequence[Sequence[str]] = IDENTITY_TERMS)
     return out
 
 
+def mentions(terms: Sequence[Sequence[str]] = IDENTITY_TERMS) -> list[tuple[str, int]]:
+    return [(m.format(t), 0) for m in MENTIONS for group in terms for t in group]
+
+
 def _csr(sets: list[set[str]], index: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
     rows, cols = [], []
     for i, words in enumerate(sets):
@@ -130,11 +137,14 @@ def fit(pairs: list[tuple[str, int]], terms: Sequence[Sequence[str]] = IDENTITY_
 
 
 def learn(docs: DataFrame, labels: DataFrame, modulus: int = 4, remainder: int = 2, rows: int = 6000, id_col: str = "doc_id", text_col: str = "text", **settings) -> Model:
-    """Fit on at most ``rows`` labelled rows outside the held-out remainder."""
+    """Fit on at most ``rows`` labelled rows outside the held-out remainder, and the
+    neutral mentions if those rows have both labels."""
     allowed = bucket_of(F.col("_id"), modulus) != remainder
     pairs = sample(docs, labels, "toxic", allowed, rows, id_col, text_col)
     known = labels.select(F.col(id_col).alias("_id"), F.col("toxic").cast("int").alias("y")).filter("y in (0, 1)").filter(allowed)
     prior = known.agg(F.avg("y")).first()[0]
+    if len({y for _, y in pairs}) == 2:
+        pairs = pairs + mentions(settings.get("terms", IDENTITY_TERMS))
     return fit(pairs, prior=prior, **settings)
 
 
