@@ -21,9 +21,14 @@
 At the threshold a pair shares a bucket with probability 1 - (1 - J^r)^b, which
 is over 1 - 1e-8 with the parameters that ``band_plan`` picks.
 
+Nodes are numbers given to the classes, so an id may stand for several sets: each
+of them is a node of its own, and they are linked because they share the id.
+
 Defined results: null and blank texts have an empty set and link with nothing;
 fewer words than the shingle length make one shingle; rows without id are never
-linked; rows that repeat an id are treated as one node if their sets are equal.
+linked; rows that repeat an id are one document, linked with all that any of
+their texts is linked with, and ``survivors`` keeps or drops them together; extra
+columns play no part, whatever their names; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -40,7 +45,7 @@ from pyspark.sql import functions as F
 
 from ..graph.components import components
 from ..session import materialize
-from ._common import bounded, map_arrow, text_or_empty
+from ._common import bounded, fresh, map_arrow, text_or_empty
 
 BINS = 240
 #: Rounds with one more centre per bucket before the rest goes to the prefix join.
@@ -118,8 +123,8 @@ def signature(shingles: np.ndarray, bins: int = BINS) -> np.ndarray:
     return sig
 
 
-def signatures(docs: DataFrame, k: int, bands: int, rows: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per document: set size, 128-bit digest of the set, short signature, band keys."""
+def signatures(docs: DataFrame, k: int, bands: int, rows: int) -> DataFrame:
+    """Per row of ``docs`` (id, text): set size, 128-bit digest of the set, short signature, band keys."""
     bins = bands * rows
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -129,9 +134,9 @@ def signatures(docs: DataFrame, k: int, bands: int, rows: int, id_col: str = "do
             for text in batch.column(1).to_pylist():
                 s = shingle_set(text, k)
                 n.append(len(s))
-                digest = xxhash.xxh3_128_digest(s.tobytes())
-                d1.append(int.from_bytes(digest[:8], "little", signed=True))
-                d2.append(int.from_bytes(digest[8:], "little", signed=True))
+                a, b = _digest(s.tobytes())
+                d1.append(a)
+                d2.append(b)
                 if not len(s):
                     short.append(None)
                     keys.append(None)
@@ -145,16 +150,24 @@ def signatures(docs: DataFrame, k: int, bands: int, rows: int, id_col: str = "do
             arrays = [batch.column(0), pa.array(n, pa.int64()), pa.array(d1, pa.int64()), pa.array(d2, pa.int64()), pa.array(short, pa.binary()), pa.array(keys, pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays(arrays, names=["id", "n", "d1", "d2", "sig", "keys"])
 
-    return map_arrow(docs.select(F.col(id_col).cast("long").alias("id"), text_or_empty(text_col).alias("text")), run, "id long, n long, d1 long, d2 long, sig binary, keys array<long>")
+    return map_arrow(docs.select("id", "text"), run, "id long, n long, d1 long, d2 long, sig binary, keys array<long>")
+
+
+def _digest(raw: bytes) -> tuple[int, int]:
+    digest = xxhash.xxh3_128_digest(raw)
+    return int.from_bytes(digest[:8], "little", signed=True), int.from_bytes(digest[8:], "little", signed=True)
 
 
-def shingle_sets(docs: DataFrame, k: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def shingle_sets(rows: DataFrame, k: int) -> DataFrame:
+    """The sets of ``rows`` (id, text) with their digests."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = [shingle_set(t, k).tobytes() for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["id", "shingles"])
+            d1, d2 = zip(*map(_digest, sets), strict=True) if sets else ((), ())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(d1, pa.int64()), pa.array(d2, pa.int64()), pa.array(sets, pa.binary())], names=["id", "d1", "d2", "shingles"])
 
-    return map_arrow(docs.select(F.col(id_col).cast("long").alias("id"), text_or_empty(text_col).alias("text")), run, "id long, shingles binary")
+    return map_arrow(rows.select("id", "text"), run, "id long, d1 long, d2 long, shingles binary")
 
 
 def _alike(bins: int, threshold: float):
@@ -266,16 +279,28 @@ def _ordered(x: str, y: str) -> list:
     return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
 
+def _same_id(linkable: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links between the classes that one id's texts belong to: a star for each id."""
+    several = linkable.groupBy("id").agg(F.min(F.struct("d1", "d2")).alias("lo"), F.max(F.struct("d1", "d2")).alias("hi")).filter("lo <> hi").select("id")
+    several = materialize(several, "same-id")
+    if not several.limit(1).count():
+        return several.select(F.col("id").alias("a"), F.col("id").alias("b"))
+    own = linkable.select("id", "d1", "d2").join(bounded(several), "id", "left_semi").distinct().join(classes, ["d1", "d2"]).select("id", "node")
+    own = materialize(own, "same-id")
+    return own.join(own.groupBy("id").agg(F.min("node").alias("b")), "id").filter("node <> b").select(F.col("node").alias("a"), "b").distinct()
+
+
 def near_groups(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: ``n_shingles``, ``component_id`` and ``kept``."""
     bands, rows = band_plan(percent / 100)
     bins = bands * rows
     sized = lambda p, q: f"100 * least({p}, {q}) >= {percent} * greatest({p}, {q})"
-    sigs = materialize(signatures(docs, k, bands, rows, id_col, text_col), "signatures")
+    texts = docs.select(F.col(id_col).cast("long").alias("id"), text_or_empty(text_col).alias("text"))
+    sigs = materialize(signatures(texts, k, bands, rows), "signatures")
     linkable = sigs.filter("id is not null and n > 0")
     classes = linkable.groupBy("d1", "d2").agg(F.min("id").alias("rep"))
-    classes = materialize(classes, "classes")
-    nodes = linkable.join(classes, ["d1", "d2"]).filter("id = rep").select("id", "n", "sig", "keys").dropDuplicates(["id"])
+    classes = materialize(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
+    nodes = linkable.join(classes, ["d1", "d2"]).filter("id = rep").select(F.col("node").alias("id"), "rep", "d1", "d2", "n", "sig", "keys").dropDuplicates(["id"])
     nodes = materialize(nodes, "nodes")
 
     member = nodes.select(F.explode("keys").alias("key"), "id", "n")
@@ -283,13 +308,14 @@ def near_groups(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "d
     centres = materialize(centres, "centres")
     shared = materialize(member.join(centres.drop("size"), "key"), "buckets")
     stars = shared.filter("id <> centre").filter(sized("n", "nc")).select(*_ordered("id", "centre")).distinct()
-    busy = materialize(shared.select("id").distinct(), "busy")
-    sets = shingle_sets(docs.join(bounded(busy.withColumnRenamed("id", "_busy")), F.col(id_col).cast("long") == F.col("_busy"), "left_semi"), k, id_col, text_col)
-    sets = materialize(sets.dropDuplicates(["id"]), "sets")
+    busy = shared.select(F.col("id").alias("node")).distinct().join(nodes.select(F.col("id").alias("node"), F.col("rep").alias("id"), "d1", "d2"), "node")
+    busy = materialize(busy, "busy")
+    sets = shingle_sets(texts.join(bounded(busy.select("id").distinct()), "id", "left_semi"), k).join(bounded(busy), ["id", "d1", "d2"])
+    sets = materialize(sets.select(F.col("node").alias("id"), "shingles").dropDuplicates(["id"]), "sets")
     signed = nodes.select("id", "sig")
     links = _tested(stars, signed, sets, bins, percent)
     tried = materialize(stars, "tried")
-    joined = materialize(components(links, "a", "b"), "components")
+    joined = materialize(components(links.unionByName(_same_id(linkable, classes)), "a", "b"), "components")
     shared = shared.select("key", "id", "n")
     for turn in range(STAR_ROUNDS + 1):
         placed = shared.join(joined.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
@@ -311,13 +337,16 @@ def near_groups(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "d
         if new.limit(1).count():
             joined = _merged(joined, new)
 
-    out = sigs.select("id", "n", "d1", "d2").join(classes, ["d1", "d2"], "left")
-    out = out.join(joined.withColumnRenamed("node", "rep"), "rep", "left")
-    component = F.when((F.col("n") > 0) & F.col("id").isNotNull(), F.coalesce("component", "rep", "id")).otherwise(F.col("id"))
+    placed = classes.join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    least = placed.groupBy("component").agg(F.min("rep").alias("component_id"))
+    placed = materialize(placed.join(least, "component").select("d1", "d2", "component_id"), "placed")
+    out = sigs.select("id", "n", "d1", "d2").join(placed, ["d1", "d2"], "left")
+    component = F.when((F.col("n") > 0) & F.col("id").isNotNull(), F.col("component_id")).otherwise(F.col("id"))
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id")).withColumn("kept", F.col(id_col).eqNullSafe(F.col("component_id")))
 
 
 def survivors(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` without those whose group keeps another document."""
-    gone = materialize(near_groups(docs, k, percent, id_col, text_col).filter("not kept").select(F.col(id_col).alias("_gone")).distinct(), "gone")
-    return docs.join(bounded(gone), F.col(id_col).cast("long") == F.col("_gone"), "left_anti")
+    mine = fresh(docs, "gone")
+    gone = materialize(near_groups(docs, k, percent, id_col, text_col).filter("not kept").select(F.col(id_col).alias(mine)).distinct(), "gone")
+    return docs.join(bounded(gone), F.col(id_col).cast("long") == F.col(mine), "left_anti")
