@@ -8,8 +8,10 @@ over piecewise linear functions of these ratios, fitted to labelled texts that
 the dictionaries have not seen, turns them into a probability.
 
 Defined results: null counts as empty; an empty text is scored like any other;
-without labelled rows of both kinds every score is the share of good ones seen
-(1 if there are none); texts are compressed whole, whatever their length; equal
+without two labelled texts of each kind (one for the dictionary, one for the
+regression, neither of them empty) every score is the share of good ones seen (1
+if there are none); of an id's texts one counts for fitting, of its labels the
+greatest; texts are compressed whole, whatever their length; equal
 texts get equal scores; other columns play no part.
 """
 
@@ -29,6 +31,11 @@ from .labelled import sample
 
 DICTIONARY_BYTES = 112_640
 LEVEL = 1
+#: Texts are cut into samples of so many bytes for training; a dictionary takes one
+#: part in ``SHARE`` of them, and ``LEAST_DICTIONARY`` bytes at least.
+SAMPLE_BYTES, SHARE, LEAST_DICTIONARY, LEAST_SAMPLES = 1024, 4, 1024, 32
+#: Segment and stretch lengths of the dictionary trainer.
+COVER = (50, 8)
 KNOTS = (0.01, 0.03, 0.06, 0.1, 0.15, 0.2, 0.5, 0.8, 0.85, 0.9, 0.95, 0.98)
 
 
@@ -70,19 +77,19 @@ def ratios(text: str, compressors: tuple) -> tuple[float, ...]:
 
 
 def _dictionary(texts: list[bytes]) -> bytes:
-    if sum(map(len, texts)) >= 10 * DICTIONARY_BYTES and len(texts) >= 20:
-        try:
-            return zstandard.train_dictionary(DICTIONARY_BYTES, texts, level=LEVEL).as_bytes()
-        except zstandard.ZstdError:
-            pass
-    return b"".join(texts)[-DICTIONARY_BYTES:]  # too few to train on: raw content serves as dictionary
+    """A trained dictionary, of a fixed share of its samples' size and ``DICTIONARY_BYTES`` at most."""
+    samples = [t[i : i + SAMPLE_BYTES] for t in texts for i in range(0, len(t), SAMPLE_BYTES)]
+    size = min(DICTIONARY_BYTES, max(LEAST_DICTIONARY, sum(map(len, texts)) // SHARE))
+    # the trainer wants some samples and bytes: what is too little is repeated
+    samples *= -(-max(LEAST_SAMPLES, 0) // max(1, len(samples)))
+    return zstandard.train_dictionary(size, samples, k=COVER[0], d=COVER[1]).as_bytes()
 
 
 def fit(pairs: list[tuple[str, int]], prior: float | None = None, ridge: float = 0.05) -> Model:
-    good, bad = ([t.encode() for t, y in pairs if y == k] for k in (1, 0))
+    good, bad = ([t.encode() for t, y in pairs if y == k and t] for k in (1, 0))
     if prior is None:
-        prior = len(good) / len(pairs) if pairs else 1.0
-    if len(good) < 4 or len(bad) < 4:
+        prior = sum(y for _, y in pairs) / len(pairs) if pairs else 1.0
+    if len(good) < 2 or len(bad) < 2:
         return Model(prior)
     model = Model(prior, _dictionary(good[::2]), _dictionary(bad[::2]))
     compressors = model.compressors()
