@@ -8,8 +8,14 @@ to the loss. A weight that only stands for the mention of a group is thereby
 driven towards what the other terms have, and since terms of a kind are swapped
 for a neutral placeholder too, towards none: neutral mentions don't score high.
 
-The words that the model may use are those whose frequencies differ most
-between the labels (likelihood-ratio statistic), and all identity terms.
+The words that the model may use are those whose frequencies differ
+significantly between the labels (likelihood-ratio statistic; ``max_words`` of
+them at most, a bound on the model), and all identity terms.
+
+In a model of words the penalty acts on the weights of identity terms alone: it
+changes the scores of texts that name a group, and of others only through the
+common fit. The sample always holds neutral mentions, so that a corpus that names
+no group gets a model that is even-handed about them.
 
 Defined results: null and empty texts get the score of the bias alone; without
 labelled rows of both kinds every score is the share of toxic ones seen (0 if
@@ -107,7 +113,7 @@ def fit(pairs: list[tuple[str, int]], terms: Sequence[Sequence[str]] = IDENTITY_
         cells = ((a, c * m / n), (c - a, c * (n - m) / n), (m - a, (n - c) * m / n), (n - m - c + a, (n - c) * (n - m) / n))
         return 2 * sum(x * math.log(x / e) for x, e in cells if x > 0 and e > 0)
 
-    stat = {w: ratio(w) for w, c in seen.items() if c >= 3}
+    stat = {w: ratio(w) for w in seen}
     # 15: a word is used if its table is this unlikely by chance (about 1 in 10,000)
     vocabulary = sorted((w for w in stat if stat[w] > 15), key=lambda w: (-stat[w], w))[:max_words]
     vocabulary = sorted({*vocabulary, *(t for group in terms for t in group)})
