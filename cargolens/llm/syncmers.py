@@ -4,39 +4,41 @@ A k-mer of code points is a closed syncmer if the least of its s-mers (by hash)
 is its first or its last one. Whether a k-mer is chosen depends on nothing
 outside it, so equal passages give equal anchors wherever they stand, and two
 chosen k-mers are never further apart than k - s. All anchors, each with its
-position, are the fingerprint: ``scale:hash@position`` joined by ``;``, by
-position. Likeness is the Jaccard index of the anchors, where common ones count
-that lie on the commonest shift between the two texts or next to another on the
-same shift, so that chance matches at scattered places don't count.
-
-Texts below ``SHORT`` code points also carry a finer scale, and two such texts
-are compared on it; a text too short for it has its code points as anchors.
+position, are the fingerprint: ``hash@position`` joined by ``;``, by position. A
+text shorter than k is a k-mer of its own and its only anchor. Texts of every
+length are treated alike: about two anchors in k - s + 1 characters. Likeness is
+the Jaccard index of the anchors, where common ones count that lie on the
+commonest shift between the two texts or next to another on the same shift, so
+that chance matches at scattered places don't count.
 
 To give each row its successor, rows are dealt into ranges of ids whose bounds
-are quantiles. The first row of each range also goes to the range before it
-(a halo row), so that every task finds the successor of its last row.
+are quantiles; an id that fills several ranges is split by a hash of the text.
+The first row of each range also goes to the range before it (a halo row), so
+that every task finds the successor of its last row.
 
 Defined results: null text counts as empty; an empty text has the fingerprint
-""; two empty texts have likeness 1; rows with equal ids follow each other by
-text; rows without id come first; the last row's successor is the first row,
-which may be the row itself.
+""; two empty texts have likeness 1; rows with equal ids follow each other by a
+hash of their text (only rows that repeat id and text share a task); rows without
+id come first; the last row's successor is the first row, which may be the row
+itself; other columns play no part, whatever their names; an empty table gives no
+rows.
 """
 
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ._common import map_arrow, text_or_empty
 
-#: (k, s) of the scale for all texts and of the finer one for short texts.
-COARSE, FINE = (16, 6), (5, 2)
-SHORT = 160
+#: Lengths of an anchor and of the inner substrings that choose it.
+K, S = 8, 3
 #: Characters of fingerprints after which a batch of results is passed on.
 OUT_CHARS = 8 << 20
 #: Ranges of ids that one shuffle partition gets on average.
@@ -69,13 +71,11 @@ def anchors(codes: np.ndarray, k: int, s: int) -> tuple[np.ndarray, np.ndarray]:
     return _hashes(codes, k)[at] >> _S32, at
 
 
-def _sketch(codes: np.ndarray, k: int, s: int) -> Sketch:
+def fingerprint(codes: np.ndarray, k: int = K, s: int = S) -> Sketch:
     """Ascending anchor hashes with their first positions."""
     if not len(codes):
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    if len(codes) < k and k == FINE[0]:
-        hashes, at = _hashes(codes, 1) >> _S32, np.arange(len(codes))
-    elif len(codes) < k:
+    if len(codes) < k:
         hashes, at = _hashes(codes, len(codes)) >> _S32, np.zeros(1, np.int64)
     else:
         hashes, at = anchors(codes, k, s)
@@ -93,24 +93,14 @@ def codes_of(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le"), "<u4").astype(np.uint64)
 
 
-def fingerprint(codes: np.ndarray) -> dict[str, Sketch]:
-    out = {"c": _sketch(codes, *COARSE)}
-    if len(codes) < SHORT:
-        out["f"] = _sketch(codes, *FINE)
-    return out
-
+def to_text(print_: Sketch) -> str:
+    hashes, at = print_
+    order = np.lexsort((hashes, at))
+    return ";".join([f"{h:08x}@{p}" for h, p in zip(hashes[order].tolist(), at[order].tolist(), strict=True)])
 
-def to_text(print_: dict[str, Sketch]) -> str:
-    rows = []
-    for scale, (hashes, at) in sorted(print_.items()):
-        order = np.lexsort((hashes, at))
-        rows += [f"{scale}:{h:08x}@{p}" for h, p in zip(hashes[order].tolist(), at[order].tolist(), strict=True)]
-    return ";".join(rows)
 
-
-def likeness(x: dict[str, Sketch], y: dict[str, Sketch]) -> float:
-    scale = "f" if "f" in x and "f" in y else "c"
-    (p, p_at), (q, q_at) = x[scale], y[scale]
+def likeness(x: Sketch, y: Sketch) -> float:
+    (p, p_at), (q, q_at) = x, y
     if np.array_equal(p, q) and np.array_equal(p_at, q_at):
         return 1.0
     _, i, j = np.intersect1d(p, q, assume_unique=True, return_indices=True)
@@ -132,30 +122,47 @@ def edited(text: str, following: str) -> str:
     return text[: len(text) - n] + following[:n]
 
 
+def _array(values: list[int]) -> Column:
+    """A constant array from a single literal, however long it is."""
+    return F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>")
+
+
 def with_successor(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Rows (range, halo, id, text), dealt by range and sorted within it, each range followed by its halo row."""
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("id"), text_or_empty(text_col).alias("text"))
-    rows = rows.withColumn("key", F.coalesce("id", F.lit(-(1 << 63))))
+    rows = rows.withColumn("key", F.coalesce("id", F.lit(-(1 << 63)))).withColumn("tie", F.xxhash64("text"))
     n = RANGES_PER_PARTITION * max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     found = rows.agg(F.percentile_approx("key", [i / n for i in range(1, n)], max(10_000, 20 * n))).first()[0] or []
-    bounds = sorted(set(found))  # at most one for each range
+    ranges = Counter(found)  # how many ranges begin with an id: at most one for each in all
+    bounds, upto = sorted(ranges), [0]
+    for bound in bounds:
+        upto.append(upto[-1] + ranges[bound])
     spot = F.lit(0)
     if bounds:
-        listed = F.array(*map(F.lit, bounds))
+        listed = _array(bounds)
         steps = F.array(*(F.lit(1 << i) for i in range(len(bounds).bit_length() - 1, -1, -1)))
         # binary search: how many bounds are at most the key
         spot = F.aggregate(steps, F.lit(0), lambda lo, step: F.when(lo + step > len(bounds), lo).when(F.get(listed, lo + step - 1) <= F.col("key"), lo + step).otherwise(lo))
-    rows = rows.withColumn("range", spot)
-    firsts = {r["range"]: r["first"] for r in rows.groupBy("range").agg(F.min("key").alias("first")).collect()}  # one row per range
-    used = sorted(firsts)
+    rows = rows.withColumn("spot", spot)
+    if bounds:
+        begin, end = F.get(_array(upto), F.greatest(F.col("spot") - 1, F.lit(0))), F.get(_array(upto), F.col("spot"))
+        # an id that is a bound: its rows over all ranges that begin with it, by the hash
+        share = F.floor((F.shiftright("tie", 32) + (1 << 31)) * (end - begin) / (1 << 32))
+        at = F.when((F.col("spot") > 0) & (F.col("key") == F.get(listed, F.col("spot") - 1)), begin + 1 + share).otherwise(end)
+        rows = rows.withColumn("range", at.cast("int"))
+    else:
+        rows = rows.withColumn("range", F.lit(0))
+    firsts = {r["range"]: r["first"] for r in rows.groupBy("range").agg(F.min(F.struct("key", "tie")).alias("first")).collect()}  # one row per range
+    used = sorted(firsts) or [0]
+    width = used[-1] + 1
+    column = lambda of: F.get(_array([of(r) for r in range(width)]), F.col("range"))
     before = {r: used[i - 1] for i, r in enumerate(used)}
-    first = F.get(F.array(*(F.lit(firsts.get(r)).cast("long") for r in range(len(bounds) + 1))), F.col("range"))
-    previous = F.get(F.array(*(F.lit(before.get(r)).cast("int") for r in range(len(bounds) + 1))), F.col("range"))
+    first = (F.col("key") == column(lambda r: firsts[r]["key"] if r in firsts else 0)) & (F.col("tie") == column(lambda r: firsts[r]["tie"] if r in firsts else 0))
     own = F.struct(F.col("range"), F.lit(0).alias("halo"))
-    copy = F.struct(previous.alias("range"), F.lit(1).alias("halo"))
-    dealt = rows.select(F.explode(F.when(F.col("key") == first, F.array(own, copy)).otherwise(F.array(own))).alias("to"), "id", "key", "text")
-    return dealt.select("to.range", "to.halo", "id", "key", "text").repartition("range").sortWithinPartitions("range", "halo", "key", "text")
+    copy = F.struct(column(lambda r: before.get(r, 0)).cast("int").alias("range"), F.lit(1).alias("halo"))
+    dealt = rows.select(F.explode(F.when(first, F.array(own, copy)).otherwise(F.array(own))).alias("to"), "id", "key", "tie", "text")
+    return dealt.select("to.range", "to.halo", "id", "text", "key", "tie").repartition("range").sortWithinPartitions("range", "halo", "key", "tie", "text").drop("key", "tie")
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -174,7 +181,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         for batch in batches:
             out: list[tuple] = []
             size = 0
-            for at, halo, doc, text in zip(*(batch.column(i).to_pylist() for i in (0, 1, 2, 4)), strict=True):
+            for at, halo, doc, text in zip(*(batch.column(i).to_pylist() for i in (0, 1, 2, 3)), strict=True):
                 if halo and (last is None or last[0] != at):
                     continue  # a further row with the id of the range's first
                 codes = codes_of(text)
