@@ -44,8 +44,9 @@ OUT_CHARS = 8 << 20
 #: Ranges of ids that one shuffle partition gets on average.
 RANGES_PER_PARTITION = 4
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
-_S32 = np.uint64(32)
-Sketch = tuple[np.ndarray, np.ndarray]
+_S32, _LOW, _SIDE = np.uint64(32), np.uint64((1 << 32) - 1), np.uint64(1 << 31)
+_TENS = 10 ** np.arange(10, dtype=np.int64)
+_HEX = np.frombuffer(b"0123456789abcdef", np.uint8)
 
 
 def _hashes(codes: np.ndarray, k: int) -> np.ndarray:
@@ -71,49 +72,92 @@ def anchors(codes: np.ndarray, k: int, s: int) -> tuple[np.ndarray, np.ndarray]:
     return _hashes(codes, k)[at] >> _S32, at
 
 
-def fingerprint(codes: np.ndarray, k: int = K, s: int = S) -> Sketch:
-    """Ascending anchor hashes with their first positions."""
-    if not len(codes):
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    if len(codes) < k:
-        hashes, at = _hashes(codes, len(codes)) >> _S32, np.zeros(1, np.int64)
-    else:
-        hashes, at = anchors(codes, k, s)
-    order = np.argsort(hashes, kind="stable")
-    hashes, at = hashes[order], at[order]
-    new = np.ones(len(hashes), bool)
-    new[1:] = hashes[1:] != hashes[:-1]
-    nth = np.arange(len(hashes)) - np.maximum.accumulate(np.where(new, np.arange(len(hashes)), 0))
-    again = (hashes + nth.astype(np.uint64) * _A) * _B >> _S32  # the n-th occurrence is an anchor of its own
-    values, first = np.unique(np.where(nth > 0, again, hashes), return_index=True)
-    return values, at[first]
-
-
 def codes_of(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le"), "<u4").astype(np.uint64)
 
 
-def to_text(print_: Sketch) -> str:
-    hashes, at = print_
-    order = np.lexsort((hashes, at))
-    return ";".join([f"{h:08x}@{p}" for h, p in zip(hashes[order].tolist(), at[order].tolist(), strict=True)])
-
-
-def likeness(x: Sketch, y: Sketch) -> float:
-    (p, p_at), (q, q_at) = x, y
-    if np.array_equal(p, q) and np.array_equal(p_at, q_at):
+def chosen(codes: np.ndarray, k: int = K, s: int = S) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes and positions of a text's anchors, by position."""
+    if not len(codes):
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    if len(codes) < k:
+        return _hashes(codes, len(codes)) >> _S32, np.zeros(1, np.int64)
+    return anchors(codes, k, s)
+
+
+def sketch(found: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """Anchors as ascending numbers: hash in the upper half, position in the lower.
+
+    The n-th occurrence of a hash is an anchor of its own; of equal ones the first counts."""
+    packed = np.sort(found[0] << _S32 | found[1].astype(np.uint64))
+    hashes = packed >> _S32
+    again = np.flatnonzero(hashes[1:] == hashes[:-1]) + 1
+    if len(again):
+        new = np.ones(len(packed), bool)
+        new[again] = False
+        at = np.arange(len(packed))
+        nth = (at - np.maximum.accumulate(np.where(new, at, 0)))[again].astype(np.uint64)
+        packed[again] = ((hashes[again] + nth * _A) * _B >> _S32) << _S32 | packed[again] & _LOW
+        packed.sort()
+        values = packed >> _S32
+        new[0], new[1:] = True, values[1:] != values[:-1]
+        packed = packed[new]
+    return packed
+
+
+def fingerprint(codes: np.ndarray, k: int = K, s: int = S) -> np.ndarray:
+    return sketch(chosen(codes, k, s))
+
+
+def to_text(print_: np.ndarray) -> str:
+    """``hash@position``, by position, joined by ``;``."""
+    if not len(print_):
+        return ""
+    turned = np.sort(print_ << _S32 | print_ >> _S32)
+    at, hashes = (turned >> _S32).astype(np.int64), (turned & _LOW).astype(np.int64)
+    digits = len(str(int(at[-1])))
+    out = np.empty((len(at), 10 + digits), np.uint8)
+    for i in range(8):
+        out[:, i] = _HEX[hashes >> (28 - 4 * i) & 15]
+    out[:, 8], out[:, -1] = ord("@"), ord(";")
+    used = np.ones(out.shape, bool)
+    for i in range(digits):
+        ten = _TENS[digits - 1 - i]
+        out[:, 9 + i] = at // ten % 10 + 48
+        if i < digits - 1:
+            used[:, 9 + i] = at >= ten
+    return out[used].tobytes()[:-1].decode("ascii")
+
+
+def likeness(x: np.ndarray, y: np.ndarray) -> float:
+    if np.array_equal(x, y):
         return 1.0
-    _, i, j = np.intersect1d(p, q, assume_unique=True, return_indices=True)
+    both = np.sort(np.concatenate([x, y | _SIDE]))  # positions take 31 bits
+    values = both >> _S32
+    i = np.flatnonzero(values[1:] == values[:-1])
     if not len(i):
         return 0.0
-    order = np.argsort(p_at[i], kind="stable")
-    shift = (q_at[j] - p_at[i])[order]
+    common = np.sort((both[i] & _LOW) << _S32 | (both[i + 1] & _LOW) ^ _SIDE)
+    shift = (common & _LOW).astype(np.int64) - (common >> _S32).astype(np.int64)
     shifts, n = np.unique(shift, return_counts=True)
     good = shift == shifts[np.argmax(n)]
     same = shift[1:] == shift[:-1]
     good[1:] |= same
     good[:-1] |= same
-    return int(good.sum()) / (len(p) + len(q) - len(i))
+    return int(good.sum()) / (len(x) + len(y) - len(i))
+
+
+def after_edit(codes: np.ndarray, found: tuple[np.ndarray, np.ndarray], following: np.ndarray, k: int = K, s: int = S) -> np.ndarray:
+    """The edited text's fingerprint: anchors within the part that stays are those of the text (``found``)."""
+    n = len(codes) // 4
+    kept = len(codes) - n
+    new = np.concatenate([codes[:kept], following[:n]])
+    since = kept - k + 1  # the first k-mer that reaches into the new part
+    if since <= 0 or len(new) < k:
+        return sketch(chosen(new, k, s))
+    same = np.searchsorted(found[1], since)
+    hashes, at = chosen(new[since:], k, s) if len(new) - since >= k else (found[0][:0], found[1][:0])
+    return sketch((np.concatenate([found[0][:same], hashes]), np.concatenate([found[1][:same], at + since])))
 
 
 def edited(text: str, following: str) -> str:
@@ -170,7 +214,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     the first is to the second and to its successor's."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last = None  # (range, id, text, codes, fingerprint)
+        last = None  # (range, id, text, codes, anchors, fingerprint)
         types = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
         names = [id_col, "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
 
@@ -185,17 +229,18 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 if halo and (last is None or last[0] != at):
                     continue  # a further row with the id of the range's first
                 codes = codes_of(text)
-                own = fingerprint(codes)
+                found = chosen(codes)
+                own = sketch(found)
                 if last is not None and last[0] == at:
-                    _, prior, before, had, print_ = last
+                    _, prior, before, had, anchors_, print_ = last
                     new = edited(before, text)
-                    changed = print_ if new == before else fingerprint(codes_of(new))
+                    changed = print_ if new == before else after_edit(had, anchors_, codes)
                     out.append((prior, len(had), hashlib.sha256(new.encode()).hexdigest(), to_text(print_), to_text(changed), likeness(print_, changed), likeness(print_, own)))
                     size += len(out[-1][3]) + len(out[-1][4])
                     if size > OUT_CHARS:
                         yield packed(out)
                         out, size = [], 0
-                last = None if halo else (at, doc, text, codes, own)
+                last = None if halo else (at, doc, text, codes, found, own)
             yield packed(out)
 
     schema = f"{id_col} long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
