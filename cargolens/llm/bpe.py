@@ -9,11 +9,18 @@ the paths from the start state are exactly the token sequences that greedy
 merging by rank produces.
 
 States share their history with the state they were split from, so that the
-automaton takes memory in proportion to the merges; a row of the transition
-table is filled in when it is first used and then kept. A pre-split word is
-encoded by walking the table along the word's bytes, longest arc first, with
-dead positions remembered; exactly one path spells the word. Decoding emits the
-labels of the arcs.
+automaton takes memory in proportion to the merges.
+
+Texts come as bytes, so the automaton over tokens is turned into a deterministic
+one over bytes. After some bytes of a word, its state is the state that the
+tokens so far lead to and, for each place where a token may be under way, the
+place in the tree of tokens and the state before it. For each byte the transition
+table has the next state and the last token of what has been read, of which there
+is exactly one. A pre-split word is encoded by one transition for each byte; its
+tokens are then read off from its end, each token's length leading to the one
+before. A row of the table is computed when a byte is first met in its state, and
+kept: written out in full for this kind of vocabulary, the arcs between tokens
+alone would be some 10^8. Decoding emits the labels of the arcs.
 
 Defined results: null text counts as empty; an empty text has no ids; a text of
 any length is encoded whole; repeated rows give repeated results; columns other
@@ -26,6 +33,8 @@ import functools
 import hashlib
 import json
 import re
+import sys
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -39,14 +48,17 @@ from ._common import map_arrow, text_or_empty
 #: Fixed value: how byte-level vocabularies of this kind split a text into words.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
+#: A chunk that is one word by ``SPLIT``, for letters whose class is beyond doubt.
+_ONE_WORD = re.compile("[ ]?[A-Za-zÀ-ÖØ-öø-ÿ]+").fullmatch
+
 #: A blank between white space, or between white space and the end: here a word
 #: may reach over the blank, so that the text can't be cut before it.
 _STRADDLES = re.compile(r"\s \s|\s $")
 
 #: Chunks remembered by a worker, in each of two generations.
-CACHE_CHUNKS = 150_000
-#: Entries of the transition table that a worker keeps.
-TABLE_ENTRIES = 1_000_000
+CACHE_CHUNKS = 250_000
+#: Entries of the transition table that a worker keeps before it starts anew.
+TABLE_ENTRIES = 500_000
 
 
 def byte_names() -> dict[str, int]:
@@ -57,6 +69,25 @@ def byte_names() -> dict[str, int]:
     return out
 
 
+class _Table(dict):
+    """Transition table: state | byte -> next state, states being multiples of 256.
+    Entries are plain numbers, so the table costs no garbage collection."""
+
+    def __init__(self, compute):
+        super().__init__()
+        self.compute = compute
+
+    def __missing__(self, key: int) -> int:
+        found = self[key] = self.compute(key >> 8, key & 255)
+        return found
+
+
+#: The state before a word: any token may come first.
+START = -1
+#: Later than any merge, and what stands for an arc that was never lost.
+LATEST, NEVER = 1 << 60, 1 << 61
+
+
 class MergeAutomaton:
     """The automaton of a merge list, with tokens as arc labels."""
 
@@ -69,19 +100,31 @@ class MergeAutomaton:
         self.lost: list[dict[int, int]] = [{}]
         #: token -> state that its arcs enter
         self.enters = {i: 0 for i, b in labels.items() if len(b) == 1}
+        #: (state, token) -> when its arc was lost; kept once all merges are in
+        self.gone: dict[int, int] = {}
         own = [0]  # tokens whose arcs enter a state
         own[0] = len(self.enters)
         #: merged token -> (left part, merge)
         self.left: dict[int, tuple[int, int]] = {}
         for k, (u, v, w) in enumerate(merges):
             self._gadget(k, u, v, w, own)
-        self.shorter = self._prefixes()
-        self.longest = max(map(len, labels.values()), default=1)
-        self.table: dict[int, bool] = {}
+            self.gone.clear()
+        #: the tree of tokens: node << 8 | byte -> node; the token that ends at a node, whether longer ones go on
+        self.tree: dict[int, int] = {}
+        self.token_at, self.goes_on = [-1], bytearray(1)
+        for label, token in self.ids.items():
+            if token in self.enters:
+                self._plant(label, token)
+        self.length = {i: len(b) for i, b in labels.items()}
+        self.reset()
 
     def _gadget(self, k: int, u: int, v: int, w: int, own: list[int]) -> None:
+        if u not in self.enters or v not in self.enters:
+            return  # a part that no merge makes
         target = self.enters[v]
         state = self.enters[u]
+        if not self.has_arc(state, v):
+            return  # what earlier merges leave never has v behind u
         if own[state] > 1 or u == v:  # what enters with w must keep the arc
             own[state] -= 1
             self.origin.append((state, k))
@@ -94,12 +137,46 @@ class MergeAutomaton:
             self.enters[w] = target
             own[target] += 1
 
-    def _prefixes(self) -> dict[int, int]:
-        """Token -> its longest proper prefix that is a token (-1: none)."""
-        out = {}
-        for b, i in self.ids.items():
-            out[i] = next((self.ids[b[:n]] for n in range(len(b) - 1, 0, -1) if b[:n] in self.ids), -1)
-        return out
+    def _plant(self, label: bytes, token: int) -> None:
+        node = 0
+        for byte in label:
+            self.goes_on[node] = 1
+            key = node << 8 | byte
+            node = self.tree.get(key, 0)
+            if not node:
+                node = self.tree[key] = len(self.token_at)
+                self.token_at.append(-1)
+                self.goes_on.append(0)
+        self.token_at[node] = token
+
+    def reset(self) -> None:
+        """An empty transition table. A state is the last token and (node of the token
+        tree, state of the token automaton before it) for each token that may be under
+        way, longest first; the first one is that before a word."""
+        self.states: list[tuple[int, tuple]] = [(-1, ())]
+        self.numbers: dict[tuple[int, tuple], int] = {}
+        self.last: list[int] = [-1]
+        self.table = _Table(self.transition)
+
+    def transition(self, number: int, byte: int) -> int:
+        token, open_ = self.states[number]
+        begun, last = [], -1
+        for node, before in (*open_, (0, self.enters[token] if token >= 0 else START)):
+            if node := self.tree.get(node << 8 | byte):
+                token = self.token_at[node]
+                if last < 0 <= token and (before == START or self.has_arc(before, token)):
+                    last = token
+                if self.goes_on[node]:
+                    begun.append((node, before))
+        if last < 0:
+            raise ValueError("the vocabulary lacks a byte")
+        to = (last, tuple(begun))
+        found = self.numbers.get(to)
+        if found is None:
+            found = self.numbers[to] = len(self.states)
+            self.states.append(to)
+            self.last.append(last)
+        return found << 8
 
     def has_arc(self, state: int, token: int) -> bool:
         """Whether ``token`` may follow a token whose arcs enter ``state``.
@@ -107,61 +184,52 @@ class MergeAutomaton:
         An arc is there if none of the parts it grew from, down its left side,
         had been lost by the time of the merge that used that part.
         """
-        part, until = token, 1 << 60
+        part, until, left, gone, base = token, LATEST, self.left, self.gone, state << 20
         while True:
-            at, before = state, until
-            while at >= 0:
-                k = self.lost[at].get(part)
-                if k is not None and k <= before:
-                    return False
-                at, born = self.origin[at]
-                before = min(before, born)
-            if part not in self.left:
+            lost = gone.get(base | part)
+            if (self.lost_at(state, part) if lost is None else lost) <= until:
+                return False
+            if part not in left:
                 return True
-            part, until = self.left[part]
+            part, until = left[part]
+
+    def lost_at(self, state: int, part: int) -> int:
+        """The merge with which a state, or one it was split from while it was that, lost its arc."""
+        found, before, origin, lost = NEVER, LATEST, self.origin, self.lost
+        at = state
+        while at >= 0:
+            k = lost[at].get(part, NEVER)
+            if k <= before and k < found:
+                found = k
+            at, born = origin[at]
+            before = min(before, born)
+        if len(self.gone) >= TABLE_ENTRIES:
+            self.gone.clear()
+        self.gone[state << 20 | part] = found
+        return found
 
     def encode(self, word: bytes) -> list[int]:
         """Ids of one pre-split word."""
-        ids, table, enters, labels = self.ids, self.table, self.enters, self.labels
-        if (whole := ids.get(word)) is not None and whole in enters:
-            return [whole]
-        n = len(word)
-        alive = bytearray(b"\x01" * (n + 1))
-        path: list[int] = []
-        at = 0
-        token = self._longest_at(word, 0)
-        while True:
-            end = at + len(labels[token])
-            if alive[end]:
-                if path:
-                    key = enters[path[-1]] << 20 | token
-                    good = table.get(key)
-                    if good is None:
-                        if len(table) >= TABLE_ENTRIES:
-                            table.clear()
-                        good = table[key] = self.has_arc(key >> 20, token)
-                else:
-                    good = True
-                if good:
-                    path.append(token)
-                    at = end
-                    if at == n:
-                        return path
-                    token = self._longest_at(word, at)
-                    continue
-            token = self.shorter[token]
-            while token < 0:  # no arc leads on from here
-                alive[at] = 0
-                last = path.pop()
-                at -= len(labels[last])
-                token = self.shorter[last]
-
-    def _longest_at(self, word: bytes, at: int) -> int:
-        ids = self.ids
-        for end in range(min(len(word), at + self.longest), at, -1):
-            if (found := ids.get(word[at:end])) is not None:
-                return found
-        raise ValueError("the vocabulary lacks a byte")
+        if len(self.table) > TABLE_ENTRIES:
+            self.reset()
+        table, state, path = self.table, 0, []
+        for byte in word:
+            state = table[state | byte]
+            path.append(state)
+        length, lasts, at, out = self.length, self.last, len(word), []
+        while at:
+            last = lasts[path[at - 1] >> 8]
+            out.append(last)
+            at -= length[last]
+        out.reverse()
+        return out
+
+
+def _packed(ids: list[int]) -> bytes:
+    out = array("I", ids)
+    if sys.byteorder == "big":
+        out.byteswap()
+    return out.tobytes()
 
 
 class _Chunks(dict):
@@ -207,11 +275,13 @@ class ByteBPE:
             self.arc_label[i] = s.encode()
         self._split = regex.compile(SPLIT).findall
         self._cut_special = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
-        self.words = _Chunks(lambda word: np.array(self.automaton.encode(word.encode()), "<u4").tobytes())
         self.chunks = _Chunks(self._encode_chunk)
 
     def _encode_chunk(self, chunk: str) -> bytes:
-        return b"".join(map(self.words.__getitem__, self._split(chunk)))
+        encode = self.automaton.encode
+        if _ONE_WORD(chunk):
+            return _packed(encode(chunk.encode()))
+        return _packed([i for word in self._split(chunk) for i in encode(word.encode())])
 
     def _encode_plain(self, text: str) -> bytes:
         if not text:
