@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import exprs as X
+from ..session import if_small, materialize
 
 # -- dates --------------------------------------------------------------------
 
@@ -73,8 +75,7 @@ def enrich_hscodes(df: DataFrame, hscodes: DataFrame, column: str = "hscode", ca
     heads = hscodes.groupBy("hscode_04").agg(F.min("hscode_02_desc_short").alias("d2"), F.min("hscode_04_desc_short").alias("d4"))
     last = hscodes.select(F.split_part("hscode_02_range", F.lit(" "), F.lit(3)).alias("last")).distinct()
     chapters = heads.join(last, heads["hscode_04"] == last["last"]).groupBy(F.substring("last", 1, 2).alias("hscode_02")).agg(F.max_by("d2", "last").alias("f2"), F.max_by("d4", "last").alias("f4"))
-    # the code table has some thousand rows, whatever the shipments
-    out = df.join(F.broadcast(heads), "hscode_04", "left").join(F.broadcast(chapters), "hscode_02", "left")
+    out = df.join(if_small(heads), "hscode_04", "left").join(if_small(chapters), "hscode_02", "left")
     missing = F.col("d2").isNull()
     return out.withColumn("hscode_02_desc_short", F.when(missing, F.col("f2")).otherwise(F.col("d2"))).withColumn("hscode_04_desc_short", F.when(missing, F.col("f4")).otherwise(F.col("d4"))).drop("d2", "d4", "f2", "f4")
 
@@ -83,8 +84,7 @@ def enrich_ports(df: DataFrame, ports: DataFrame, port: str, key: str = "port_co
     """Adds the port table's columns as ``{port}_{column}``; one row for each code."""
     one = ports.filter(F.col(key).isNotNull()).groupBy(F.col(key).alias(f"{port}_code")).agg(*(F.min_by(c, F.struct(*(F.col(x).isNull() for x in columns), *columns)).alias(f"{port}_{c}") for c in columns))
     named = [f"{port}_{c}" for c in columns]
-    # a port table has some ten thousand rows, whatever the shipments
-    return df.drop(*named).join(F.broadcast(one), f"{port}_code", "left")
+    return df.drop(*named).join(if_small(one), f"{port}_code", "left")
 
 
 # -- vessels ------------------------------------------------------------------
@@ -123,8 +123,7 @@ def standardise_vessels(df: DataFrame, registry: DataFrame, imo: str = "vessel_i
     bol = {imo: "vessel_imo_bol", name: "vessel_name_bol", kind: "vessel_type_bol"}
     df = fill_each_other(df, imo, name).withColumnsRenamed(bol)
     v = known.select(F.col(imo).alias("_imo"), F.col(name).alias("_name"), F.col(kind).alias("_kind"))
-    # a vessel registry has about a hundred thousand rows, whatever the shipments
-    joined = df.join(F.broadcast(v), F.col("vessel_imo_bol") == F.col("_imo"), "left")
+    joined = df.join(if_small(v), F.col("vessel_imo_bol") == F.col("_imo"), "left")
     lost = joined.filter("_imo is null and vessel_name_bol is not null").select(F.col("vessel_name_bol").alias(name)).distinct()
     found = match_names(lost, known.select(name), name)
     table = found.join(v, found["match"] == v["_name"]).select(F.col(name).alias("_lost"), F.col("_imo").alias("_imo2"), F.col("_name").alias("_name2"), F.col("_kind").alias("_kind2"), "score")
@@ -141,12 +140,65 @@ def standardise_vessels(df: DataFrame, registry: DataFrame, imo: str = "vessel_i
 # -- outliers -----------------------------------------------------------------
 
 
+#: Values that one round of the search for a quantile may bring to the driver.
+QUANTILE_VALUES = 10_000
+
+
+def quantiles(df: DataFrame, columns: Sequence[str], share: float) -> dict[str, float | None]:
+    """Exact quantiles of whole columns (linear interpolation; null without values).
+
+    No task ever holds a column. Approximate quantiles, whose buffers are bounded,
+    cut the values into parts, and counts below and up to each cut tell whether the
+    quantile is a cut or between which two it lies. What lies strictly between them
+    is cut anew until it has few distinct values.
+    """
+    value = {c: F.col(c).cast("double") for c in columns}
+    row = df.agg(*(F.count(v).alias(f"_{i}") for i, v in enumerate(value.values()))).first()
+    place = {c: (n - 1) * share for i, c in enumerate(columns) if (n := row[f"_{i}"])}
+    found: dict[str, float] = {}
+    low, high = dict.fromkeys(place, -math.inf), dict.fromkeys(place, math.inf)
+    below = dict.fromkeys(place, 0)  # values up to the lower end
+    while open_ := [c for c in place if c not in found]:
+        inside = {c: F.when((value[c] > low[c]) & (value[c] < high[c]), value[c]) for c in open_}
+        row = df.agg(*(F.approx_count_distinct(v).alias(f"n{i}") for i, v in enumerate(inside.values())), *(F.percentile_approx(v, [i / 32 for i in range(33)], 1000).alias(f"p{i}") for i, v in enumerate(inside.values()))).first()
+        cuts = {}
+        for i, c in enumerate(open_):
+            if row[f"n{i}"] > QUANTILE_VALUES // 2:
+                cuts[c] = sorted(set(row[f"p{i}"]))
+                continue
+            at = below[c]
+            for r in df.select(inside[c].alias("v")).filter("v is not null").groupBy("v").agg(F.count("*").alias("n")).orderBy("v").collect():  # some QUANTILE_VALUES at most, by the estimate
+                at += r["n"]
+                if at > int(place[c]):
+                    found[c] = r["v"]
+                    break
+        if cuts:
+            row = df.agg(*(f(value[c], F.lit(x)).alias(f"{k}{i}_{j}") for i, c in enumerate(cuts) for j, x in enumerate(cuts[c]) for k, f in (("<", lambda v, x: F.count_if(v < x)), ("=", lambda v, x: F.count_if(v <= x))))).first()
+            for i, c in enumerate(cuts):
+                for j, x in enumerate(cuts[c]):
+                    under, upto = row[f"<{i}_{j}"], row[f"={i}_{j}"]
+                    if upto <= int(place[c]):
+                        low[c], below[c] = x, upto
+                    elif under <= int(place[c]):
+                        found[c] = x
+                        break
+                    else:
+                        high[c] = x
+                        break
+    # the value after it counts too, if the place lies between two
+    row = df.agg(*(F.struct(F.count_if(value[c] <= x).alias("upto"), F.min(F.when(value[c] > x, value[c])).alias("next")).alias(f"_{i}") for i, (c, x) in enumerate(found.items()))).first() if found else ()
+    out: dict[str, float | None] = dict.fromkeys(columns)
+    for (c, x), r in zip(found.items(), row, strict=True):
+        after = x if r["upto"] > int(place[c]) + 1 or r["next"] is None else r["next"]
+        out[c] = x + (after - x) * (place[c] - int(place[c]))
+    return out
+
+
 def quantile_limits(df: DataFrame, columns: Sequence[str], threshold: float = 0.99) -> dict[str, float | None]:
-    """Exact upper quantiles (linear interpolation), one row for all columns; null
-    where no value lies above it."""
-    named = {c: f"_{i}" for i, c in enumerate(columns)}
-    row = df.agg(*(F.percentile(c, threshold).alias(n) for c, n in named.items()), *(F.max(c).alias(f"{n}m") for c, n in named.items())).first()
-    return {c: row[n] if row[n] is not None and row[f"{n}m"] > row[n] else None for c, n in named.items()}
+    """Exact upper quantiles, one for each column; null where no value lies above it."""
+    limits = quantiles(df, columns, threshold)
+    row = df.agg(*(F.max(F.col(c).cast("double")).alias(f"_{i}") for i, c in enumerate(columns))).first()
+    return {c: q if q is not None and row[f"_{i}"] > q else None for i, (c, q) in enumerate(limits.items())}
 
 
 def quantile_mask(df: DataFrame, columns: Sequence[str], threshold: float = 0.99) -> tuple[DataFrame, dict[str, float | None]]:

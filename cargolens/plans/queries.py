@@ -16,6 +16,7 @@ from ..graph.project import Projection
 from ..operators import cleaning as C
 from ..operators import matching as M
 from ..operators import metrics
+from ..session import if_small, materialize
 from . import fixtures as V
 from . import marts
 
@@ -203,7 +204,7 @@ SELECT shipment_id, vessel_imo, registry_name FROM shipments LEFT JOIN one ON ve
 def _by_imo(spark: SparkSession, sf: str) -> DataFrame:
     one = V.view(spark, sf, V.REGISTRY).groupBy(F.col("vessel_imo").alias("imo")).agg(F.min("vessel_name").alias("registry_name"))
     s = V.shipments(spark, sf).select("shipment_id", "vessel_imo")
-    return s.join(F.broadcast(one), F.col("vessel_imo") == F.col("imo"), "left").drop("imo")
+    return s.join(if_small(one), F.col("vessel_imo") == F.col("imo"), "left").drop("imo")
 
 
 QUERIES["prt01_port_enrichment"] = lambda spark, sf: C.enrich_ports(V.shipments(spark, sf).select("shipment_id", "port_of_lading_code"), V.view(spark, sf, V.PORTS), "port_of_lading")
