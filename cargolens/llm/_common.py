@@ -8,13 +8,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import if_small
+
 #: Rows in one Arrow batch sent to Python. Texts have no length limit, so the
 #: library default of 10,000 rows could put gigabytes into one batch.
 ARROW_ROWS = 500
 #: Bytes in such a batch.
 ARROW_BYTES = 64 << 20
-#: Bytes of rows that may be broadcast; beyond it joins shuffle.
-BROADCAST_BYTES = 32 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,19 +29,8 @@ def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterable[p
     return df.mapInArrow(fn, schema)
 
 
-#: Bytes of a row's field in memory, by type; of a text, for each of its characters at most.
-_WIDTH = {"string": 4, "binary": 1}
-
-
-def bounded(df: DataFrame, most: int = BROADCAST_BYTES) -> DataFrame:
-    """Mark ``df`` for broadcast if its rows take at most ``most`` bytes, else leave
-    the join to shuffle. Counted are texts and binaries by length, and 16 bytes for
-    each field and row."""
-    wide = [F.coalesce(F.length(c), F.lit(0)).cast("long") * _WIDTH[t] for c, t in df.dtypes if t in _WIDTH]
-    size = sum(wide, F.lit(16 * (1 + len(df.columns))).cast("long"))
-    rows = most // (16 * (1 + len(df.columns)))
-    row = df.select(size.alias("size")).limit(rows + 1).agg(F.count("*").alias("n"), F.sum("size").alias("bytes")).first()
-    return F.broadcast(df) if row["n"] <= rows and (row["bytes"] or 0) <= most else df
+#: Marks a table for broadcast if its rows take few bytes.
+bounded = if_small
 
 
 def text_or_empty(name: str = "text") -> Column:
