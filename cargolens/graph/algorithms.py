@@ -7,7 +7,7 @@ driver.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
@@ -221,19 +221,56 @@ def community_average(scores: DataFrame, factor: float = 1e6) -> DataFrame:
     return scores.join(means, "community")
 
 
-def financial_score(members: DataFrame, rank: str = "rank_avg", seed: int = 42, faithful: bool = True) -> DataFrame:
-    """A synthetic score for each member from its community's mean rank, and the
-    community's mean. Names that begin with S move by a step that depends on the
-    score's range; others by +100 below 100 and +200 from there (``faithful``), or
-    by the same steps as S."""
-    # the seeded hash of the id, in 0..1, does not depend on the rows' order
-    u = F.pmod(F.xxhash64(F.lit(seed), "id"), F.lit(1_000_000)) / 1_000_000.0
-    raw = F.round(u * 300 + F.least(F.col(rank), F.lit(100.0)), 2)
-    steps = F.when(F.col("raw") < 100, 150.0).when((F.col("raw") > 100) & (F.col("raw") < 200), -50.0).when(F.col("raw") >= 200, 75.0)
-    other = F.when(F.col("raw") < 100, 100.0).otherwise(200.0) if faithful else steps
-    out = members.withColumn("raw", raw).withColumn("score", F.col("raw") + F.when(F.split_part("id", F.lit(":"), F.lit(2)).startswith("S"), steps).otherwise(other))
-    means = out.groupBy("community").agg(F.round(F.avg("score"), 4).alias("score_avg"))
-    return out.drop("raw").join(means, "community")
+#: Ranges of community numbers (both ends excluded but for the first,
+#: which is open below) and the range of scores of each; other communities draw
+#: from the last range.
+SCORE_RANGES = (
+    ((-1, 100_000), (1, 100)),
+    ((100_000, 500_000), (100, 200)),
+    ((500_000, 1_000_000), (200, 300)),
+    ((1_000_000, 2_000_000), (300, 400)),
+    ((2_000_000, 2_150_000), (400, 500)),
+    ((2_150_000, 2_350_000), (500, 600)),
+    ((2_350_000, 2_450_000), (600, 700)),
+    ((2_450_000, 2_600_000), (700, 800)),
+    ((2_600_000, 2_750_000), (800, 900)),
+    ((2_750_000, 2_850_000), (900, 999)),
+)
+ANY_SCORE = (1, 999)
+#: Scores above the first end (any, in the first row, below the second;
+#: else up to the second) move by the third.
+SCORE_SHIFTS = ((None, 100, 200), (100, 200, 100), (200, 300, 0), (300, 400, -100), (400, 500, 200), (500, 600, 100), (600, 700, 0), (700, 800, -100), (800, 900, -200), (900, 1000, -250))
+
+
+def drawn(seed: int, number: str = "community") -> Column:
+    """A number in [0, 1) that depends on the seed and the community alone."""
+    return F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(seed), F.col(number).cast("string"))), 1, 8), 16, 10).cast("double") / float(1 << 32)
+
+
+def financial_score(members: DataFrame, seed: int = 42) -> DataFrame:
+    """``(id, community, score, score_avg)`` from members ``(id, community, name)``
+    with numbered communities: a score drawn for each community from the range of
+    its number, moved by the member's range of scores, and the community's mean.
+
+    Members whose name begins with S move by the shift of the first range that
+    holds their score (null if none does), the others by that of the first range
+    that does not, as the published results have it."""
+    raw = lambda ends: F.floor(drawn(seed) * (ends[1] - ends[0]) + ends[0]).cast("long")
+    n = F.col("community")
+    score = F.lit(None)
+    for (low, high), ends in reversed(SCORE_RANGES):
+        score = F.when((n > low) & (n < high), raw(ends)).otherwise(score)
+    score = F.coalesce(score, raw(ANY_SCORE))
+    s, inside = F.col("raw"), []
+    for low, high, shift in SCORE_SHIFTS:
+        inside.append(((s < high) if low is None else (s > low) & (s <= high), shift))
+    held, other = F.lit(None).cast("long"), F.lit(None).cast("long")
+    for holds, shift in reversed(inside):
+        held, other = F.when(holds, F.lit(shift)).otherwise(held), F.when(~holds, F.lit(shift)).otherwise(other)
+    out = members.select("id", "community", "name", score.alias("raw"))
+    out = out.select("id", "community", (s + F.when(F.coalesce(F.startswith("name", F.lit("S")), F.lit(False)), held).otherwise(other)).cast("long").alias("score"))
+    means = out.groupBy("community").agg(F.avg("score").cast("long").alias("score_avg"))
+    return out.join(means, "community").select("id", "community", "score", "score_avg")
 
 
 def size_histogram(members: DataFrame, column: str = "community", bins: tuple[int, ...] = (1, 2, 3, 4, 5, 6, 8, 10, 15, 20, 50, 100, 500, 1000, 10000)) -> DataFrame:

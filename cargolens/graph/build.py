@@ -118,14 +118,20 @@ def edges(shipments: DataFrame, kind: str) -> DataFrame:
 
 def node_list(shipments: DataFrame, *labels: str) -> DataFrame:
     """``(id, label, key)`` of the given labels; ids are unique over labels."""
-    rows = container_rows(shipments)
-    parts = [rows.select(F.coalesce(KEYS[x], F.lit(MISSING)).alias("key"), F.lit(x).alias("label")).distinct() for x in labels or KEYS]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+    one = F.explode(F.array(*(F.struct(F.coalesce(KEYS[x], F.lit(MISSING)).alias("key"), F.lit(x).alias("label")) for x in labels or KEYS)))
+    out = container_rows(shipments).select(one.alias("n")).select("n.key", "n.label").distinct()
     return out.select(F.concat_ws(":", "label", "key").alias("id"), "label", "key")
 
 
+def edge_pairs(shipments: DataFrame, *kinds: str) -> DataFrame:
+    """``(src, dst, type)`` as in ``edge_list``, without measures, from one scan."""
+    end = lambda label: F.coalesce(KEYS[label], F.lit(MISSING))
+    one = F.explode(F.array(*(F.struct(F.lit(k).alias("type"), end(EDGES[k][0]).alias("a"), end(EDGES[k][1]).alias("b")) for k in kinds or EDGES)))
+    pairs = container_rows(shipments).select(one.alias("e")).select("e.*").distinct()
+    label = lambda side: F.element_at(F.create_map(*(F.lit(x) for k in kinds or EDGES for x in (k, EDGES[k][side]))), F.col("type"))
+    return pairs.select(F.concat_ws(":", label(0), "a").alias("src"), F.concat_ws(":", label(1), "b").alias("dst"), "type")
+
+
 def edge_list(shipments: DataFrame, *kinds: str) -> DataFrame:
     """``(src, dst, type, shipment_count, delay_days_q95i)`` with ids as in ``node_list``."""
     out = None

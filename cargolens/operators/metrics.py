@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 EPSILON = 2.220446049250313e-16
 
 
@@ -43,12 +45,18 @@ def binary_metrics(df: DataFrame, label: str, predicted: str, probability: str)
     return out.crossJoin(F.broadcast(average_precision(df, label, probability)))  # two single rows
 
 
-def average_precision(df: DataFrame, label: str, probability: str) -> DataFrame:
+def average_precision(df: DataFrame, label: str, probability: str, parts: int = 256) -> DataFrame:
     """Sum of precision times gain in recall over the distinct thresholds. The
-    thresholds are counted first, so the running sums cover them and not the rows."""
-    from pyspark.sql import Window
-
-    steps = df.groupBy(F.round(F.col(probability).cast("double"), 6).alias("q")).agg(F.count_if(F.col(label) == 1).alias("hits"), F.count("*").alias("n"))
-    down = Window.orderBy(F.desc("q")).rowsBetween(Window.unboundedPreceding, 0)  # at most 1,000,001 thresholds
-    run = steps.select("hits", (F.sum("hits").over(down) / F.sum("n").over(down)).alias("precision"))
+    thresholds are counted first; their running sums are taken within parts of
+    their range, on top of the sums of the parts above, so that no task has all."""
+    steps = df.filter(F.col(probability).isNotNull()).groupBy(F.col(probability).cast("double").alias("q")).agg(F.count_if(F.col(label) == 1).alias("hits"), F.count("*").alias("n"))
+    steps = materialize(steps, "thresholds")
+    cuts = steps.agg(F.percentile_approx("q", [i / parts for i in range(1, parts)], 10_000)).first()[0] or []
+    listed = F.split(F.lit(",".join(map(repr, sorted(set(cuts))))), ",").cast("array<double>")
+    steps = steps.withColumn("part", F.size(F.filter(listed, lambda x: x <= F.col("q"))) if cuts else F.lit(0))
+    sums = steps.groupBy("part").agg(F.sum("hits").alias("h"), F.sum("n").alias("m"))
+    above = Window.orderBy(F.desc("part")).rowsBetween(Window.unboundedPreceding, -1)  # a row for each part
+    sums = sums.select("part", F.coalesce(F.sum("h").over(above), F.lit(0)).alias("h0"), F.coalesce(F.sum("m").over(above), F.lit(0)).alias("m0"))
+    down = Window.partitionBy("part").orderBy(F.desc("q")).rowsBetween(Window.unboundedPreceding, 0)
+    run = steps.join(F.broadcast(sums), "part").select("hits", ((F.sum("hits").over(down) + F.col("h0")) / (F.sum("n").over(down) + F.col("m0"))).alias("precision"))
     return run.agg(F.coalesce(F.try_divide(F.sum(F.col("precision") * F.col("hits")), F.sum("hits")), F.lit(0.0)).alias("average_precision"))

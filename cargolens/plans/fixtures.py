@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 SHIPMENTS = """
 SELECT l.l_orderkey * 10 + l.l_linenumber AS shipment_id,
+  CASE WHEN l.l_linenumber = 2 THEN NULL ELSE concat('BOL', CAST(l.l_orderkey AS STRING), '-', CAST(l.l_suppkey % 7 AS STRING)) END AS bill_of_lading,
   CASE WHEN o.o_custkey % 50 = 0 THEN NULL ELSE c.c_name END AS consignee_name,
   concat(c.c_mktsegment, ' ', nc.n_name) AS consignee_address,
   s.s_name AS shipper_name, ns.n_name AS shipper_address,

@@ -544,8 +544,6 @@ def _register_graph_tables() -> None:
             counts = f"SELECT src AS s, dst AS d, count(*) AS container_count FROM ({_EXPLODED.format(keys='src, dst', rows='FROM ' + rows)}) GROUP BY 1, 2"
             ORACLE_SQL[name] = V.oracle(f"SELECT e.*, container_count FROM (SELECT src, dst, {_DELAYS_SQL}, round_even(sum(teu), 1) AS teu_sum, {_EDGE_SQL}, '{kind}' AS type FROM {rows} GROUP BY src, dst) e LEFT JOIN ({counts}) ON src = s AND dst = d")
     for kind, (a, b) in B.RELATIONS.items():
-        if kind == "SHIPMENT_BOL":
-            continue
         name = f"ddp02_{kind.lower()}"
         QUERIES[name] = lambda spark, sf, kind=kind: B.relation(V.shipments(spark, sf), kind)
         ORACLE_SQL[name] = V.oracle(f"SELECT DISTINCT CAST({a} AS VARCHAR) AS src, CAST({b} AS VARCHAR) AS dst, '{kind}' AS type FROM shipments WHERE {a} IS NOT NULL AND {b} IS NOT NULL")
@@ -556,19 +554,19 @@ _register_graph_tables()
 # -- graph algorithms ---------------------------------------------------------
 
 
-def _graph(spark: SparkSession, sf: str, labels: tuple[str, ...] = (), kinds: tuple[str, ...] = ()) -> Projection:
-    from ..session import materialize
-
+def _graph(spark: SparkSession, sf: str, labels: tuple[str, ...] = (), kinds: tuple[str, ...] = (), weighted: bool = False) -> Projection:
+    """Nodes and edges; only ``weighted`` edges have measures."""
     s = materialize(B.container_rows(V.shipments(spark, sf)).select("vessel_type", "consignee_name", "shipper_name", "carrier_code", "notify_party_name", "port_of_lading_code", "port_of_unlading_code", "arrival_date_delay"), "graph")
-    return Projection(materialize(B.node_list(s, *labels), "nodes"), materialize(B.edge_list(s, *kinds), "edges"))
+    edges = B.edge_list(s, *kinds) if weighted else B.edge_pairs(s, *kinds)
+    return Projection(materialize(B.node_list(s, *labels), "nodes"), materialize(edges, "edges"))
 
 
 _PARTIES, _PARTY_EDGES = ("Shipper", "Consignee", "NotifyParty"), ("SHIPS_FOR", "NOTIFY_FOR")
 
 
-def _parties(spark: SparkSession, sf: str) -> Projection:
+def _parties(spark: SparkSession, sf: str, weighted: bool = False) -> Projection:
     """Parties and their links over all container rows, without missing names."""
-    return _graph(spark, sf, _PARTIES, _PARTY_EDGES).named()
+    return _graph(spark, sf, _PARTIES, _PARTY_EDGES, weighted).named()
 
 
 def _nodes_sql(labels: tuple[str, ...], rows: str = _CS) -> str:
@@ -579,9 +577,7 @@ def _edges_sql(kinds: tuple[str, ...], rows: str = _CS) -> str:
     return " UNION ALL ".join(f"SELECT DISTINCT concat('{B.EDGES[k][0]}:', {_key_sql(B.KEYS[B.EDGES[k][0]])}) AS src, concat('{B.EDGES[k][1]}:', {_key_sql(B.KEYS[B.EDGES[k][1]])}) AS dst, '{k}' AS type {rows}" for k in kinds)
 
 
-# the SQL sees voyages 0-9 only, the queries all rows: see the README
-_FEW = _CS + " AND voyage_number < 10"
-_PARTY_SQL = f", n0 AS ({_nodes_sql(_PARTIES, _FEW)}), n AS (SELECT id FROM n0 WHERE NOT ends_with(id, ':N/A')), e AS (SELECT * FROM ({_edges_sql(_PARTY_EDGES, _FEW)}) WHERE src IN (SELECT id FROM n) AND dst IN (SELECT id FROM n))"
+_PARTY_SQL = f", n0 AS ({_nodes_sql(_PARTIES)}), n AS (SELECT id FROM n0 WHERE NOT ends_with(id, ':N/A')), e AS (SELECT * FROM ({_edges_sql(_PARTY_EDGES)}) WHERE src IN (SELECT id FROM n) AND dst IN (SELECT id FROM n))"
 
 QUERIES["gra01_degree"] = lambda spark, sf: G.degree(_graph(spark, sf))
 ORACLE_SQL["gra01_degree"] = V.oracle(f", n AS ({_nodes_sql(tuple(B.KEYS))}), e AS ({_edges_sql(tuple(B.EDGES))}) SELECT id, coalesce(d, 0) AS degree FROM n LEFT JOIN (SELECT v, count(*) AS d FROM (SELECT src AS v FROM e UNION ALL SELECT dst FROM e) GROUP BY v) ON id = v")
@@ -594,6 +590,8 @@ SELECT id, component, count(*) OVER (PARTITION BY component) AS size FROM (SELEC
 ORACLE_SQL["gra02_wcc"] = V.oracle(_RECURSIVE).replace("WITH ", "WITH RECURSIVE ", 1)
 ORACLE_SQL["gra03_scc"] = ORACLE_SQL["gra02_wcc"]  # with every edge reversed as well, both are the same
 QUERIES["gra04_label_propagation"] = lambda spark, sf: G.label_propagation(_parties(spark, sf))
+_LPA_ROUND = ", l{j} AS (SELECT id, coalesce(new, c) AS c FROM l{i} LEFT JOIN (SELECT v, arg_min(c, {{'n': -m, 'c': c}}) AS new FROM (SELECT dst AS v, c, count(*) AS m FROM both_ends JOIN l{i} ON src = id GROUP BY 1, 2) GROUP BY v) ON id = v)"
+ORACLE_SQL["gra04_label_propagation"] = V.oracle(_PARTY_SQL + ", both_ends AS MATERIALIZED (SELECT src, dst FROM e UNION ALL SELECT dst, src FROM e), l0 AS (SELECT id, id AS c FROM n)" + "".join(_LPA_ROUND.format(i=i, j=i + 1).replace(f"l{i + 1} AS (", f"l{i + 1} AS MATERIALIZED (") for i in range(10)) + " SELECT id, c AS community, count(*) OVER (PARTITION BY c) AS size FROM l10")
 
 
 QUERIES["gra05_louvain"] = lambda spark, sf: K.louvain(_parties(spark, sf))
@@ -611,7 +609,7 @@ ORACLE_SQL["adm_counts_by_type"] = V.oracle(f"SELECT type, count(*) AS n FROM ({
 
 def _ranked(kinds: tuple[str, ...], labels: tuple[str, ...], weight: str | None = None, scaled: bool = False, directed: bool = True):
     def run(spark: SparkSession, sf: str) -> DataFrame:
-        out = G.pagerank(_graph(spark, sf, labels, kinds), weight, directed=directed)
+        out = G.pagerank(_graph(spark, sf, labels, kinds, weighted=weight is not None), weight, directed=directed)
         out = G.min_max(out) if scaled else out
         return out.select("id", *(F.round(c, 6).alias(c) for c in out.columns if c != "id"))
 
@@ -628,18 +626,49 @@ for _side, _spec in (("lading", _LADING), ("unlading", _UNLADING)):
         f""", n AS ({_nodes_sql(_spec[1])}), e AS ({_edges_sql(_spec[0])}), o AS (SELECT src AS s, count(*) AS k FROM e GROUP BY src)
 SELECT id, round(0.15 + coalesce(g, 0), 6) AS rank FROM n LEFT JOIN (SELECT dst, sum(0.85 * 0.15 / k) AS g FROM e JOIN o ON src = s GROUP BY dst) ON id = dst"""
     )
+    # weighted: a carrier's or shipper's rank is shared by weight; scaled over all nodes
+    _shares = " UNION ALL ".join(f"SELECT concat('{B.EDGES[k][0]}:', {_key_sql(B.KEYS[B.EDGES[k][0]])}) AS src, concat('{B.EDGES[k][1]}:', {_key_sql(B.KEYS[B.EDGES[k][1]])}) AS dst, CASE WHEN quantile_cont(arrival_date_delay, 0.95) <= 0 THEN 1.0 ELSE round_even(1 / quantile_cont(arrival_date_delay, 0.95), 4) END AS w {_CS} GROUP BY 1, 2" for k in _spec[0])
+    ORACLE_SQL[f"gra07_pagerank_ports_{_side}_weighted"] = V.oracle(
+        f""", n AS ({_nodes_sql(_spec[1])}), e AS ({_shares}), o AS (SELECT src AS s, sum(w) AS k FROM e GROUP BY src),
+  r AS (SELECT id, 0.15 + coalesce(g, 0) AS rank FROM n LEFT JOIN (SELECT dst, sum(0.85 * 0.15 * w / k) AS g FROM e JOIN o ON src = s GROUP BY dst) ON id = dst)
+SELECT id, round(rank, 6) AS rank, round((rank - (SELECT min(rank) FROM r)) / (SELECT max(rank) - min(rank) FROM r), 6) AS rank_scaled FROM r"""
+    )
 QUERIES["gra08_pagerank_carriers"] = lambda spark, sf: G.pagerank_if_connected(_graph(spark, sf, ("Carrier", "Shipper", "PortOfLading", "PortOfUnlading"), ("CARRIES_FROM", "CARRIES_TO", "SHIPS_BY")), directed=False)
 
 
 def _communities(spark: SparkSession, sf: str) -> tuple[Projection, DataFrame]:
-    g = _parties(spark, sf)
+    g = _parties(spark, sf, weighted=True)
     return g, K.leiden(g, gamma=GAMMA).select("id", "community")
 
 
 QUERIES["gra09_pagerank_entities"] = lambda spark, sf: (lambda gc: G.pagerank_in_communities(*gc, weight="weight"))(_communities(spark, sf))
 QUERIES["gra16_community_ranks"] = lambda spark, sf: G.community_ranks(QUERIES["gra09_pagerank_entities"](spark, sf))
 QUERIES["gra17_community_average"] = lambda spark, sf: G.community_average(QUERIES["gra09_pagerank_entities"](spark, sf))
-QUERIES["gra18_financial_score"] = lambda spark, sf: G.financial_score(QUERIES["gra17_community_average"](spark, sf))
+#: The reference numbers communities by nodes; of so many there, the ranges of its score go by them.
+COMMUNITY_NUMBERS = 2_960_487
+
+
+def _scored(placed: DataFrame) -> DataFrame:
+    """The financial score of the consignees; a community's number is taken from its name."""
+    number = F.conv(F.substring(F.md5("community"), 1, 8), 16, 10).cast("long") % COMMUNITY_NUMBERS
+    consignees = placed.filter(F.startswith("id", F.lit("Consignee:")))
+    return G.financial_score(consignees.select("id", number.alias("community"), F.split_part("id", F.lit(":"), F.lit(2)).alias("name")))
+
+
+QUERIES["gra18_financial_score"] = lambda spark, sf: _scored(K.louvain(_parties(spark, sf)))
+#: The same arithmetic on communities that SQL can find: a consignee's own market segment.
+_SEGMENTS = "SELECT DISTINCT concat('Consignee:', consignee_name) AS id, split_part(consignee_address, ' ', 1) AS community FROM shipments WHERE consignee_name IS NOT NULL"
+QUERIES["gra18_financial_score_segments"] = lambda spark, sf: _scored(V.shipments(spark, sf).filter("consignee_name is not null").select(F.concat(F.lit("Consignee:"), "consignee_name").alias("id"), F.split_part("consignee_address", F.lit(" "), F.lit(1)).alias("community")).distinct())
+_draw = lambda lo, hi: f"CAST(floor(u * ({hi} - {lo}) + {lo}) AS BIGINT)"
+_score_case = "CASE " + " ".join(f"WHEN community > {a} AND community < {b} THEN {_draw(*ends)}" for (a, b), ends in G.SCORE_RANGES) + f" ELSE {_draw(*G.ANY_SCORE)} END"
+_in_range = lambda a, b: f"raw < {b}" if a is None else f"(raw > {a} AND raw <= {b})"
+_shift_case = "CASE WHEN starts_with(name, 'S') THEN CASE " + " ".join(f"WHEN {_in_range(a, b)} THEN {d}" for a, b, d in G.SCORE_SHIFTS) + " END ELSE CASE " + " ".join(f"WHEN NOT {_in_range(a, b)} THEN {d}" for a, b, d in G.SCORE_SHIFTS) + " END END"
+ORACLE_SQL["gra18_financial_score_segments"] = V.oracle(
+    f""", c AS ({_SEGMENTS}), k AS (SELECT id, split_part(id, ':', 2) AS name, CAST(concat('0x', substr(md5(community), 1, 8)) AS BIGINT) % {COMMUNITY_NUMBERS} AS community FROM c),
+  d AS (SELECT *, CAST(concat('0x', substr(md5(concat('42:', community)), 1, 8)) AS BIGINT) / 4294967296.0 AS u FROM k), s AS (SELECT *, {_score_case} AS raw FROM d),
+  t AS (SELECT id, community, raw + {_shift_case} AS score FROM s)
+SELECT id, community, score, CAST(trunc(avg(score) OVER (PARTITION BY community)) AS BIGINT) AS score_avg FROM t"""
+)
 QUERIES["gra19_community_sizes"] = lambda spark, sf: _parties_wcc(spark, sf).groupBy("component").agg(F.count("*").alias("size"))
 ORACLE_SQL["gra19_community_sizes"] = ORACLE_SQL["gra02_wcc"].replace("SELECT id, component, count(*) OVER (PARTITION BY component) AS size FROM (SELECT id, min(c) AS component FROM r GROUP BY id)", "SELECT component, count(*) AS size FROM (SELECT id, min(c) AS component FROM r GROUP BY id) GROUP BY component")
 QUERIES["agg14_size_histogram"] = lambda spark, sf: G.size_histogram(_parties_wcc(spark, sf), "component").select("bin", "communities", "members")
