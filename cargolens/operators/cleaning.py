@@ -273,6 +273,19 @@ def null_profile(df: DataFrame) -> DataFrame:
     return out.select("column", "nulls", F.round(100 * F.col("nulls") / F.col("_n"), 4).alias("share")).orderBy(F.desc("share"), "column")
 
 
+def report(df: DataFrame) -> DataFrame:
+    """A row for each column of a table of numbers: count, nulls, distinct values,
+    mean, deviation, ends, and its correlation with each column. One pass, and one
+    that counts distinct values."""
+    columns = df.columns
+    stats = {"n": F.count, "nulls": lambda c: F.count_if(F.col(c).isNull()), "mean": lambda c: F.round(F.avg(c), 6), "deviation": lambda c: F.round(F.stddev_samp(c), 6), "least": F.min, "greatest": F.max}
+    one = df.agg(*(F.struct(*(f(c).alias(k) for k, f in stats.items()), *(F.round(F.corr(c, d), 6).alias(d) for d in columns)).alias(c) for c in columns))
+    values = df.select(F.explode(F.array(*(F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns))).alias("x")).select("x.*").filter("value is not null").distinct()
+    kinds = values.groupBy("column").agg(F.count("*").alias("kinds"))
+    rows = one.select(F.explode(F.array(*(F.struct(F.lit(c).alias("column"), F.col(c).alias("s")) for c in columns))).alias("x")).select("x.column", "x.s.*")
+    return rows.join(kinds, "column", "left").select("column", "n", "nulls", F.coalesce("kinds", F.lit(0)).alias("kinds"), "mean", "deviation", "least", "greatest", *columns)
+
+
 def glimpse(df: DataFrame, rows: int = 5) -> dict:
     """Row counts, repeated rows, summary and a few rows."""
     total, kinds = df.count(), df.distinct().count()

@@ -96,6 +96,8 @@ def od_vessels(b: DataFrame) -> DataFrame:
 MARTS = {f.__name__: f for f in (cnee_carriers, cnee_shippers, cnee_hschapters, cnee_ports, od_carriers, od_containers, od_hschapters, od_vessels)}
 
 
-def save(mart: DataFrame, table: str) -> None:
-    """Replaces the table, laid out by quarter for the dashboards' filters."""
-    mart.write.mode("overwrite").partitionBy("arrival_quarter_txt").saveAsTable(table)
+def save(mart: DataFrame, table: str, path: str | None = None) -> None:
+    """Replaces the table, laid out by quarter for the dashboards' filters; with
+    ``path``, the data lie there and not in the warehouse."""
+    writer = mart.write.mode("overwrite").partitionBy("arrival_quarter_txt")
+    (writer.option("path", path) if path else writer).saveAsTable(table)

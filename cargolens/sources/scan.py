@@ -44,7 +44,7 @@ def read_manifests(
     columns whose names start with ``_`` left aside; the month counts, so that a row
     repeated in two months stays twice.
     """
-    reader = spark.read.schema(schema.raw(list(header))).option("header", True).option("recursiveFileLookup", True).option("pathGlobFilter", pattern)
+    reader = spark.read.schema(schema.raw(list(header))).option("header", True).option("escape", '"').option("recursiveFileLookup", True).option("pathGlobFilter", pattern)
     df = reader.csv(paths if isinstance(paths, str) else list(paths))
     wanted = list(columns) if columns else [c for c in header if c not in skip]
     path = F.col("_metadata.file_path")

@@ -9,6 +9,12 @@ Stages, in order, each ``(spark, docs, sf_dir) -> DataFrame``:
 5. best-fit packing: one row per piece with its place in a sequence.
 
 All but the last return the columns of ``documents``.
+
+Defined results, for every stage: null texts count as empty and are never toxic,
+all empty texts are equal, and one of them stays; rows without id are kept unless
+another row has the same text; very long texts are read whole; rows that repeat
+id and text count as copies; of equal texts and of near groups the least id stays;
+extra columns pass through, whatever their names; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -51,7 +57,7 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("best_fit_packing", pack_sequences),
 ]
 
-#: Classifiers and tokens are beyond SQL; the tests hold run() against brute force.
+#: Classifiers and tokens are beyond SQL; the tests hold each stage of run() against brute force.
 ORACLE_SQL: str | None = None
 
 
