@@ -11,7 +11,9 @@
 3. The filters of a block merge by running through their sorted remainders and
    adding up counters. A filter holds each fingerprint once per partition
    however often it occurs, so a text that a third of all rows share costs one
-   entry per partition.
+   entry per partition. A large table's partitions have too few fingerprints for
+   filters of single blocks; theirs are of wider blocks, and merges of some of
+   them are cut into narrower ones, level by level (``block_plan``).
 4. Fingerprints with a count above one route their rows to byte verification:
    rows are grouped by the normalised text itself, with partial aggregation, so
    that each partition sends a text once.
@@ -29,6 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -37,6 +40,8 @@ from ._common import bounded, fresh, text_or_empty
 
 #: Fingerprints that one block of the merged filter holds on average.
 ENTRIES_PER_BLOCK = 100_000
+#: Fingerprints that a partition's filter of one block holds at least, on average.
+ENTRIES_PER_FILTER = 64
 
 
 def normalised(text: Column) -> Column:
@@ -105,10 +110,56 @@ def merge(filters: list[QuotientFilter]) -> tuple[np.ndarray, np.ndarray]:
     return values[starts], np.add.reduceat(counts, starts) if len(starts) else counts
 
 
-def repeated_fingerprints(prints: DataFrame, n_rows: int, column: str = "fp") -> DataFrame:
-    """Fingerprints (column ``fp``) that occur more than once in ``prints``."""
-    block_bits = max(0, min(24, math.ceil(math.log2(max(1, n_rows / ENTRIES_PER_BLOCK)))))
-    width = 64 - block_bits
+def _filters(values: np.ndarray, counts: np.ndarray, bits: int) -> tuple[list[int], list[bytes]]:
+    """Blocks (the ``bits`` leading bits) of ascending fingerprints, and a filter for each."""
+    width = 64 - bits
+    blocks = (values >> np.uint64(width)).astype(np.int64) if bits else np.zeros(len(values), np.int64)
+    cuts = np.flatnonzero(np.diff(blocks)) + 1
+    names, filters = [], []
+    for low, n, block in zip(np.split(values, cuts), np.split(counts, cuts), np.split(blocks, cuts), strict=True):
+        if len(low):
+            quotient_bits = max(3, int(len(low)).bit_length())
+            names.append(int(block[0]))
+            filters.append(QuotientFilter.build(low & np.uint64((1 << width) - 1), n, width - quotient_bits, width).to_bytes())
+    return names, filters
+
+
+def _merged(block: int, filters: list[bytes], bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Whole fingerprints of a block's filters, ascending, and their counts."""
+    values, counts = merge([QuotientFilter.from_bytes(f) for f in filters])
+    return values | (np.uint64(block) << np.uint64(64 - bits) if bits else np.uint64(0)), counts
+
+
+def _narrower(wide: int, narrow: int):
+    """Merges some filters of a block of ``wide`` leading bits and cuts them into blocks of ``narrow`` ones."""
+
+    def run(group: pa.Table) -> pa.Table:
+        names, found = _filters(*_merged(group.column("block")[0].as_py(), group.column("filter").to_pylist(), wide), narrow)
+        part = group.column("part")[0].as_py()
+        return pa.table({"block": pa.array(names, pa.int64()), "part": pa.array([part] * len(names), pa.int64()), "filter": pa.array(found, pa.binary())})
+
+    return run
+
+
+def block_plan(n_rows: int, partitions: int) -> tuple[list[int], int]:
+    """Leading bits of the blocks level by level, and how many filters a merge before the last takes.
+
+    Blocks of the last level have ``ENTRIES_PER_BLOCK`` fingerprints. A partition of a
+    large table has far fewer than one for each of them, so its filters are those of
+    wider blocks, of ``ENTRIES_PER_FILTER``; merging some of them and cutting the result
+    into narrower blocks comes in between."""
+    last = max(0, min(40, math.ceil(math.log2(max(1, n_rows / ENTRIES_PER_BLOCK)))))
+    together = max(2, ENTRIES_PER_BLOCK // ENTRIES_PER_FILTER)
+    bits = [min(last, max(0, int(math.log2(max(1, n_rows / max(1, partitions) / ENTRIES_PER_FILTER)))))]
+    while bits[-1] < last:
+        bits.append(min(last, bits[-1] + int(math.log2(together))))
+    return bits, together
+
+
+def repeated_fingerprints(prints: DataFrame, column: str = "fp") -> DataFrame:
+    """Fingerprints (column ``fp``) that occur more than once in ``prints``, with their counts."""
+    row = prints.select(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n"), F.max("p").alias("p")).first()
+    bits, together = block_plan(row["n"], (row["p"] or 0) + 1)
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts = [np.unique(b.column(0).to_numpy().view(np.uint64), return_counts=True) for b in batches if b.num_rows]
@@ -116,24 +167,20 @@ def repeated_fingerprints(prints: DataFrame, n_rows: int, column: str = "fp") ->
             return
         values, where = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
         counts = np.bincount(where, np.concatenate([p[1] for p in parts])).astype(np.int64)
-        blocks = (values >> np.uint64(width)).astype(np.int64) if block_bits else np.zeros(len(values), np.int64)
-        cuts = np.flatnonzero(np.diff(blocks)) + 1
-        names, filters = [], []
-        for low, n, block in zip(np.split(values, cuts), np.split(counts, cuts), np.split(blocks, cuts), strict=True):
-            quotient_bits = max(3, int(len(low)).bit_length())
-            low = low & np.uint64((1 << width) - 1)
-            names.append(int(block[0]))
-            filters.append(QuotientFilter.build(low, n, width - quotient_bits, width).to_bytes())
-        yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(filters, pa.binary())], names=["block", "filter"])
+        names, filters = _filters(values, counts, bits[0])
+        here = TaskContext.get().partitionId()
+        yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array([here] * len(names), pa.int64()), pa.array(filters, pa.binary())], names=["block", "part", "filter"])
+
+    filters = prints.select(F.col(column).cast("long").alias("fp")).mapInArrow(build, "block long, part long, filter binary")
+    for wide, narrow in zip(bits, bits[1:], strict=False):
+        filters = filters.withColumn("part", F.floor(F.col("part") / together).cast("long")).groupBy("block", "part").applyInArrow(_narrower(wide, narrow), "block long, part long, filter binary")
 
-    def merged(group: pa.Table) -> pa.Table:
-        block = group.column("block")[0].as_py()
-        values, counts = merge([QuotientFilter.from_bytes(f) for f in group.column("filter").to_pylist()])
-        often = values[counts > 1] | (np.uint64(block) << np.uint64(width) if block_bits else np.uint64(0))
-        return pa.table({"fp": pa.array(often.view(np.int64)), "copies": pa.array(counts[counts > 1])})
+    def repeated(group: pa.Table) -> pa.Table:
+        values, counts = _merged(group.column("block")[0].as_py(), group.column("filter").to_pylist(), bits[-1])
+        often = counts > 1
+        return pa.table({"fp": pa.array(values[often].view(np.int64)), "copies": pa.array(counts[often])})
 
-    filters = prints.select(F.col(column).cast("long").alias("fp")).mapInArrow(build, "block long, filter binary")
-    return filters.groupBy("block").applyInArrow(merged, "fp long, copies long")
+    return filters.select("block", "filter").groupBy("block").applyInArrow(repeated, "fp long, copies long")
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -145,7 +192,7 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     """One row per document: ``keep_id``, ``group_size``, ``kept``, ``text_sha256``."""
     wide = fingerprints(docs, id_col, text_col)
     narrow = materialize(wide.drop("norm"), "prints")
-    repeated = materialize(repeated_fingerprints(narrow, narrow.count()), "repeated").select("fp")
+    repeated = materialize(repeated_fingerprints(narrow), "repeated").select("fp")
     candidates = wide.join(bounded(repeated), "fp", "left_semi")
     verified = candidates.groupBy("fp", "norm").agg(F.min(id_col).alias("keep_id"), F.count("*").alias("group_size"))
     verified = verified.filter("group_size > 1").select("fp", F.sha2("norm", 256).alias("text_sha256"), "keep_id", "group_size")
