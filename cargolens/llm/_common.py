@@ -14,7 +14,7 @@ from ..session import if_small
 #: library default of 10,000 rows could put gigabytes into one batch.
 ARROW_ROWS = 500
 #: Bytes in such a batch.
-ARROW_BYTES = 64 << 20
+ARROW_BYTES = 16 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -52,7 +52,7 @@ BINS = 240
 STAR_ROUNDS = 1
 #: Frequent shingles whose counts order the exact join of the rest.
 FREQUENT_SHINGLES = 300_000
-WORD_CACHE = 400_000
+WORD_CACHE = 200_000
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _MIX1, _MIX2, _MIX3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
 _S29, _S32 = np.uint64(29), np.uint64(32)
@@ -185,14 +185,22 @@ def _alike(bins: int, threshold: float):
     return run
 
 
+def _views(sets: pa.BinaryArray) -> Iterator[np.ndarray]:
+    """The sets of a column, without copies."""
+    _, offsets, data = sets.buffers()
+    ends = np.frombuffer(offsets, np.int32)[sets.offset : sets.offset + len(sets) + 1].tolist() if len(sets) else [0]
+    raw = np.frombuffer(data, np.uint8) if data is not None else np.empty(0, np.uint8)
+    for a, b in zip(ends, ends[1:], strict=False):
+        yield np.frombuffer(raw[a:b].tobytes() if a % 8 else raw[a:b], np.uint64)
+
+
 def _confirm(percent: int):
     """Keeps pairs (columns a, b, xa, xb: shingle sets) with 100 * both >= percent * either."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
-            for p, q in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                x, y = np.frombuffer(p, np.uint64), np.frombuffer(q, np.uint64)
+            for x, y in zip(_views(batch.column(2)), _views(batch.column(3)), strict=True):
                 if len(x) > len(y):
                     x, y = y, x
                 at = np.searchsorted(y, x)
