@@ -56,7 +56,7 @@ _ONE_WORD = re.compile("[ ]?[A-Za-zÀ-ÖØ-öø-ÿ]+").fullmatch
 _STRADDLES = re.compile(r"\s \s|\s $")
 
 #: Chunks remembered by a worker, in each of two generations.
-CACHE_CHUNKS = 250_000
+CACHE_CHUNKS = 150_000
 #: Entries of the transition table that a worker keeps before it starts anew.
 TABLE_ENTRIES = 500_000
 
@@ -252,22 +252,28 @@ class _Chunks(dict):
         return found
 
 
-class ByteBPE:
-    """Encodes and decodes whole texts with a byte-level vocabulary file."""
-
-    def __init__(self, path: str):
-        with open(path, encoding="utf-8") as f:
-            spec = json.load(f)
-        names = byte_names()
-        vocab = spec["model"]["vocab"]
-        self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        labels = {i: bytes(names[c] for c in s) for s, i in vocab.items() if s not in self.special}
+def read_vocabulary(path: str, with_merges: bool = True) -> tuple[dict[int, bytes], dict[str, int], list[tuple[int, int, int]]]:
+    """Labels by id, ids of special tokens, and merges as ids."""
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    names = byte_names()
+    special = {t["content"]: t["id"] for t in spec["added_tokens"]}
+    labels = {i: bytes(names[c] for c in s) for s, i in spec["model"]["vocab"].items() if s not in special}
+    merges = []
+    if with_merges:
         by_bytes = {b: i for i, b in labels.items()}
-        merges = []
         for m in spec["model"]["merges"]:
             a, b = m.split(" ") if isinstance(m, str) else m
             a, b = bytes(names[c] for c in a), bytes(names[c] for c in b)
             merges.append((by_bytes[a], by_bytes[b], by_bytes[a + b]))
+    return labels, special, merges
+
+
+class ByteBPE:
+    """Encodes and decodes whole texts with a byte-level vocabulary file."""
+
+    def __init__(self, path: str):
+        labels, self.special, merges = read_vocabulary(path)
         self.automaton = MergeAutomaton(labels, merges)
         top = max([*labels, *self.special.values()]) + 1
         self.arc_label: list[bytes] = [labels.get(i, b"") for i in range(top)]

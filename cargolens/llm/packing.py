@@ -23,7 +23,6 @@ rows without id are packed as well; columns other than id and text are ignored.
 from __future__ import annotations
 
 import functools
-import json
 import re
 import zlib
 from collections.abc import Iterator
@@ -37,7 +36,7 @@ from pyspark.sql import types as T
 
 from ..session import materialize
 from ._common import map_arrow, text_or_empty
-from .bpe import SPLIT, ByteBPE, _Chunks
+from .bpe import SPLIT, _Chunks, read_vocabulary
 
 #: Pieces that one (length, salt) group has on average, were all lengths alike.
 PIECES_PER_SALT = 200_000
@@ -122,9 +121,8 @@ class _Encoder:
     """Ids as the vocabulary file gives them; words out of the cache go to a compiled encoder."""
 
     def __init__(self, path: str):
-        with open(path, encoding="utf-8") as f:
-            self.special = {t["content"]: t["id"] for t in json.load(f)["added_tokens"]}
-        ranks = {b: i for i, b in ByteBPE(path).automaton.labels.items()}
+        labels, self.special, _ = read_vocabulary(path, with_merges=False)
+        ranks = {b: i for i, b in labels.items()}
         self.words = tiktoken.Encoding("pack", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})
         self.chunks = _Chunks(self._ids)
         self.cut = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
