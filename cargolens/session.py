@@ -57,3 +57,24 @@ def materialize(df: DataFrame, name: str = "step") -> DataFrame:
     path = f"{work_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+class Steps:
+    """Owner of the intermediate tables of one computation: tables that nothing reads any more can be removed by name."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, {}
+
+    def write(self, df: DataFrame, name: str) -> DataFrame:
+        """As ``materialize``. The table that had this name before goes once the new one is written."""
+        path = f"{work_dir(self.spark)}/{name}-{uuid.uuid4().hex[:12]}"
+        df.write.parquet(path)
+        self.drop(name)
+        self.paths[name] = path
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self, *names: str) -> None:
+        for name in names:
+            if old := self.paths.pop(name, None):
+                path = self.spark._jvm.org.apache.hadoop.fs.Path(old)
+                path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
