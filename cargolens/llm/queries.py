@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, exact_dedup, licences, near_dedup, packing, quality, quarantine, secrets, syncmers, toxicity, url_filter
+from . import bpe, exact_dedup, licences, near_dedup, packing, quality, quarantine, secrets, syncmers, toxicity, url_filter, vector_codes
 from ._common import table
 
 
@@ -71,6 +71,10 @@ def op9_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, quality.learn(docs, table(spark, sf_dir, "labels")))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compressed(table(spark, sf_dir, "embeddings"))
+
+
 def op12_quarantine_release(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quarantine.replay(table(spark, sf_dir, "conversations"))
 
@@ -86,6 +90,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_licence_paragraphs": op7_licence_paragraphs,
     "op8_bpe_automaton": op8_bpe_automaton,
     "op9_compression_quality": op9_compression_quality,
+    "op11_vector_codes": op11_vector_codes,
     "op12_quarantine_release": op12_quarantine_release,
 }
 
