@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, exact_dedup, licences, near_dedup, packing, quality, quarantine, secrets, syncmers, toxicity, url_filter, vector_codes
+from . import bpe, count_rtree, exact_dedup, licences, near_dedup, packing, quality, quarantine, secrets, syncmers, toxicity, url_filter, vector_codes
 from ._common import table
 
 
@@ -79,6 +79,10 @@ def op12_quarantine_release(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quarantine.replay(table(spark, sf_dir, "conversations"))
 
 
+def op13_count_rtree_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return count_rtree.jaccard_components(table(spark, sf_dir, "documents"), k=3, percent=90)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter_cascade": op1_url_filter_cascade,
     "op2_exact_dedup": op2_exact_dedup,
@@ -92,6 +96,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_compression_quality": op9_compression_quality,
     "op11_vector_codes": op11_vector_codes,
     "op12_quarantine_release": op12_quarantine_release,
+    "op13_count_rtree_join": op13_count_rtree_join,
 }
 
 _HOST_PATH = """
