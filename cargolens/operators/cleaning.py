@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import exprs as X
-from ..session import if_small, materialize
+from ..session import Steps, if_small, materialize
 
 # -- dates --------------------------------------------------------------------
 
@@ -140,65 +140,96 @@ def standardise_vessels(df: DataFrame, registry: DataFrame, imo: str = "vessel_i
 # -- outliers -----------------------------------------------------------------
 
 
-#: Values that one round of the search for a quantile may bring to the driver.
+#: Values of a column that the search for a quantile may bring to the driver.
 QUANTILE_VALUES = 10_000
+#: Size of the sketches that enclose quantiles, and the share of ranks given on both sides.
+SKETCH_SIZE, SKETCH_ROOM = 4096, 0.003
+
+
+def _sketched(values: DataFrame, n: int) -> list[dict]:
+    """Per column of ``values`` (v0, v1, ...): its count, ends and a mergeable sketch, in one pass."""
+    stats = lambda v: F.struct(F.count(v).alias("n"), F.min(v).alias("least"), F.max(v).alias("most"), F.kll_sketch_agg_double(v, SKETCH_SIZE).alias("sketch"))
+    return list(values.agg(*(stats(F.col(f"v{i}")).alias(f"v{i}") for i in range(n))).first())
+
+
+def _near(values: DataFrame, ends: dict[int, tuple[float, float]]) -> DataFrame:
+    """Counts of the values between the ends of each column, and (as null) of those above."""
+    rows = F.array(*(F.when(F.col(f"v{i}") >= low, F.struct(F.lit(i).alias("i"), F.when(F.col(f"v{i}") <= high, F.col(f"v{i}")).alias("v"))) for i, (low, high) in ends.items()))
+    return values.select(F.explode(F.array_compact(rows)).alias("x")).groupBy("x.i", "x.v").agg(F.count("*").alias("n"))
+
+
+def _at_place(near: DataFrame, skipped: int, place: int) -> tuple[float, float | None]:
+    """The values at ``place`` and after it, of a table of values with counts that ``skipped`` lesser ones precede."""
+    while (kinds := near.count()) > QUANTILE_VALUES:
+        sketch = near.agg(F.kll_sketch_agg_double("v", 200).alias("s"))
+        cuts = sorted({float("inf"), *sketch.select(*(F.kll_sketch_get_quantile_double("s", F.lit(k / 32)) for k in range(1, 32))).first()})
+        part = near.withColumn("part", sum((F.col("v") > c).cast("int") for c in cuts))
+        sizes = {r["part"]: r["n"] for r in part.groupBy("part").agg(F.sum("n").alias("n")).collect()}  # a row for each cut
+        keep, before = set(), skipped
+        for k in sorted(sizes):
+            if before <= place + 1 and before + sizes[k] > place:
+                keep.add(k)
+            elif k < min(keep, default=len(cuts)):
+                skipped += sizes[k]
+            before += sizes[k]
+        near = materialize(part.filter(F.col("part").isin(*keep)).drop("part"), "near")
+        if near.count() >= kinds:
+            raise RuntimeError("the search for a quantile does not get on")
+    at, found = skipped, None
+    for r in near.orderBy("v").collect():  # QUANTILE_VALUES at most
+        at += r["n"]
+        if found is None and at > place:
+            found = r["v"]
+        if at > place + 1:
+            return found, r["v"]
+    return found, None
+
+
+def quantiles_and_ends(df: DataFrame, columns: Sequence[str], share: float) -> dict[str, tuple[float | None, float | None]]:
+    """Exact quantiles of whole columns (linear interpolation) and their greatest values.
+
+    The columns are written once. One pass over them sketches all columns, whose
+    quantiles at ranks a little below and above the place enclose the quantile; a
+    second counts what lies between. Only these few values are looked at further.
+    If a sketch missed, the ends move apart and the second pass runs again. No task
+    ever holds a column. NaN counts as null; infinities are values like others (between
+    -inf and a number the quantile is -inf); both are null for a column without values.
+    """
+    numbers = [F.col(c).cast("double") for c in columns]
+    steps = Steps(df.sparkSession)
+    values = steps.write(df.select(*(F.when(~F.isnan(x), x).alias(f"v{i}") for i, x in enumerate(numbers))), "values")
+    rows = _sketched(values, len(columns)) if columns else []
+    found: dict[int, float] = {}
+    open_ = {i: (r["n"] - 1) * share for i, r in enumerate(rows) if r["n"]}
+    room = SKETCH_ROOM
+    while open_:
+        asked = {i: (place / rows[i]["n"] - room, (place + 2) / rows[i]["n"] + room) for i, place in open_.items()}
+        sketches = df.sparkSession.createDataFrame([tuple(rows[i]["sketch"] for i in open_)], ", ".join(f"s{i} binary" for i in open_))
+        at = sketches.select(*(F.kll_sketch_get_quantile_double(f"s{i}", F.lit(min(1.0, max(0.0, x)))) for i in open_ for x in asked[i])).first()
+        ends = {i: (at[2 * k] if asked[i][0] > 0 else rows[i]["least"], at[2 * k + 1] if asked[i][1] < 1 else rows[i]["most"]) for k, i in enumerate(open_)}
+        near = steps.write(_near(values, ends), "near-values")
+        sums = {(r["i"], r["above"]): r["n"] for r in near.groupBy("i", F.col("v").isNull().alias("above")).agg(F.sum("n").alias("n")).collect()}  # two rows for each column
+        for i, place in list(open_.items()):
+            n, inside, above = rows[i]["n"], sums.get((i, False), 0), sums.get((i, True), 0)
+            skipped, whole = n - inside - above, int(place)
+            if skipped <= whole and min(whole + 2, n) <= skipped + inside:
+                x, after = _at_place(near.filter((F.col("i") == i) & F.col("v").isNotNull()).select("v", "n"), skipped, whole)
+                part = place - whole
+                found[i] = x if not part or after is None or after == x or x == -math.inf else x + (after - x) * part
+                del open_[i]
+        room *= 4
+    steps.drop("values", "near-values")
+    return {c: (found.get(i), rows[i]["most"]) for i, c in enumerate(columns)}
 
 
 def quantiles(df: DataFrame, columns: Sequence[str], share: float) -> dict[str, float | None]:
-    """Exact quantiles of whole columns (linear interpolation; null without values).
-
-    No task ever holds a column. Approximate quantiles, whose buffers are bounded,
-    cut the values into parts, and counts below and up to each cut tell whether the
-    quantile is a cut or between which two it lies. What lies strictly between them
-    is cut anew until it has few distinct values.
-    """
-    value = {c: F.col(c).cast("double") for c in columns}
-    row = df.agg(*(F.count(v).alias(f"_{i}") for i, v in enumerate(value.values()))).first()
-    place = {c: (n - 1) * share for i, c in enumerate(columns) if (n := row[f"_{i}"])}
-    found: dict[str, float] = {}
-    low, high = dict.fromkeys(place, -math.inf), dict.fromkeys(place, math.inf)
-    below = dict.fromkeys(place, 0)  # values up to the lower end
-    while open_ := [c for c in place if c not in found]:
-        inside = {c: F.when((value[c] > low[c]) & (value[c] < high[c]), value[c]) for c in open_}
-        row = df.agg(*(F.approx_count_distinct(v).alias(f"n{i}") for i, v in enumerate(inside.values())), *(F.percentile_approx(v, [i / 32 for i in range(33)], 1000).alias(f"p{i}") for i, v in enumerate(inside.values()))).first()
-        cuts = {}
-        for i, c in enumerate(open_):
-            if row[f"n{i}"] > QUANTILE_VALUES // 2:
-                cuts[c] = sorted(set(row[f"p{i}"]))
-                continue
-            at = below[c]
-            for r in df.select(inside[c].alias("v")).filter("v is not null").groupBy("v").agg(F.count("*").alias("n")).orderBy("v").collect():  # some QUANTILE_VALUES at most, by the estimate
-                at += r["n"]
-                if at > int(place[c]):
-                    found[c] = r["v"]
-                    break
-        if cuts:
-            row = df.agg(*(f(value[c], F.lit(x)).alias(f"{k}{i}_{j}") for i, c in enumerate(cuts) for j, x in enumerate(cuts[c]) for k, f in (("<", lambda v, x: F.count_if(v < x)), ("=", lambda v, x: F.count_if(v <= x))))).first()
-            for i, c in enumerate(cuts):
-                for j, x in enumerate(cuts[c]):
-                    under, upto = row[f"<{i}_{j}"], row[f"={i}_{j}"]
-                    if upto <= int(place[c]):
-                        low[c], below[c] = x, upto
-                    elif under <= int(place[c]):
-                        found[c] = x
-                        break
-                    else:
-                        high[c] = x
-                        break
-    # the value after it counts too, if the place lies between two
-    row = df.agg(*(F.struct(F.count_if(value[c] <= x).alias("upto"), F.min(F.when(value[c] > x, value[c])).alias("next")).alias(f"_{i}") for i, (c, x) in enumerate(found.items()))).first() if found else ()
-    out: dict[str, float | None] = dict.fromkeys(columns)
-    for (c, x), r in zip(found.items(), row, strict=True):
-        after = x if r["upto"] > int(place[c]) + 1 or r["next"] is None else r["next"]
-        out[c] = x + (after - x) * (place[c] - int(place[c]))
-    return out
+    """Exact quantiles of whole columns, see ``quantiles_and_ends``."""
+    return {c: q for c, (q, _) in quantiles_and_ends(df, columns, share).items()}
 
 
 def quantile_limits(df: DataFrame, columns: Sequence[str], threshold: float = 0.99) -> dict[str, float | None]:
     """Exact upper quantiles, one for each column; null where no value lies above it."""
-    limits = quantiles(df, columns, threshold)
-    row = df.agg(*(F.max(F.col(c).cast("double")).alias(f"_{i}") for i, c in enumerate(columns))).first()
-    return {c: q if q is not None and row[f"_{i}"] > q else None for i, (c, q) in enumerate(limits.items())}
+    return {c: q if q is not None and most > q else None for c, (q, most) in quantiles_and_ends(df, columns, threshold).items()}
 
 
 def quantile_mask(df: DataFrame, columns: Sequence[str], threshold: float = 0.99) -> tuple[DataFrame, dict[str, float | None]]:
