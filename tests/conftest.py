@@ -38,6 +38,6 @@ def duck():
     import duckdb
 
     con = duckdb.connect()
-    for t in "region nation customer supplier part orders lineitem documents pages labels".split():
+    for t in "region nation customer supplier part orders lineitem documents pages labels embeddings clients client_changes vendors items sales sale_lines".split():
         con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     return con
