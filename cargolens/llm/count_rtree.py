@@ -3,7 +3,8 @@
 Shingles are hashed into groups. The counts of a set's groups are a point, and the
 summed minima of two points' coordinates bound the overlap of their sets; so does,
 for all points below a node of an R-tree, the sum with the node's greatest coordinates.
-Only pairs that the bound leaves are verified, on the full sets.
+Only pairs that the bound leaves are verified, on the full sets, which are only sent to
+where such pairs are.
 
 A single tree over all points would pass through one task. The directory above the
 trees is therefore an equi-join that loses nothing: two sets that link differ in at
@@ -16,7 +17,8 @@ has no more, one that is not empty agrees as well).
 
 Links are only sought between components. The groups are gone through in slices; after
 each the components are merged, and only shards that still hold two of them go on, so
-that a family of near copies does its work once and not in every group. Within a task
+that a family of near copies does its work once and not in every group. Of shards with
+the same members one is enough, over all slices. Within a task
 links are found with the sets at hand and components are merged on the way: a shard
 gives fewer links than it has members, and no pairs are written. Shards of more than a
 page are split: first each page is joined with itself and one common member, then what
@@ -31,7 +33,7 @@ with; extra columns play no part, whatever their names; an empty table gives no
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -42,7 +44,7 @@ from pyspark.sql import functions as F
 from ..graph.components import components
 from ..session import Steps
 from ._common import bounded, map_arrow, text_or_empty
-from .near_dedup import _digest, _merged, _mixed, _same_id, _views, shingle_set, shingle_sets
+from .near_dedup import _digest, _merged, _mixed, _same_id, shingle_set, shingle_sets
 
 #: Size classes grow by this factor.
 CLASS_RATIO = 1.5
@@ -99,41 +101,54 @@ def group_keys(s: np.ndarray, percent: int) -> list[np.ndarray]:
 
 
 def keyed(docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """Per row of ``docs`` (id, text): set size, 128-bit digest of the set, keys in slices."""
+    """Per row of ``docs`` (id, text): set size, 128-bit digest of the set, group counts, keys in slices."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             cols: list[list] = [[], [], []]
+            counts: list[bytes | None] = []
             slices: list[list] = [[] for _ in range(len(SLICES) + 1)]
             for text in batch.column(1).to_pylist():
                 s = shingle_set(text, k)
                 for c, x in zip(cols, (len(s), *_digest(s.tobytes())), strict=True):
                     c.append(x)
                 keys = group_keys(s, percent) if len(s) else []
+                counts.append(packed(count_vector(s)) if keys else None)
                 for own, low, high in zip(slices, (0, *SLICES), (*SLICES, None), strict=True):
                     cut = [x[low:high] for x in keys]
                     cut = np.concatenate(cut) if cut else np.empty(0, np.uint64)
                     own.append(cut[cut != 0].view(np.int64))
-            arrays = [batch.column(0), *(pa.array(c, pa.int64()) for c in cols), *(pa.array(x, pa.list_(pa.int64())) for x in slices)]
-            yield pa.RecordBatch.from_arrays(arrays, names=["id", "n", "d1", "d2", *(f"keys{i}" for i in range(len(slices)))])
+            arrays = [batch.column(0), *(pa.array(c, pa.int64()) for c in cols), pa.array(counts, pa.binary()), *(pa.array(x, pa.list_(pa.int64())) for x in slices)]
+            yield pa.RecordBatch.from_arrays(arrays, names=["id", "n", "d1", "d2", "counts", *(f"keys{i}" for i in range(len(slices)))])
 
     keys = ", ".join(f"keys{i} array<long>" for i in range(len(SLICES) + 1))
-    return map_arrow(docs.select("id", "text"), run, f"id long, n long, d1 long, d2 long, {keys}")
+    return map_arrow(docs.select("id", "text"), run, f"id long, n long, d1 long, d2 long, counts binary, {keys}")
 
 
 # -- the tree of one page -----------------------------------------------------
 
 
-def count_vectors(sets: list[np.ndarray]) -> np.ndarray:
-    """A row of group counts for each set; about as many groups as half the longest set has shingles."""
-    longest = max(map(len, sets))
-    width = 1 << min(10, max(4, (longest // 2).bit_length()))
-    out = np.zeros((len(sets), width), np.uint16)
-    for row, s in zip(out, sets, strict=True):
-        counts = np.bincount((_mixed(s * _MIX) & np.uint64(width - 1)).astype(np.int64), minlength=width)
-        row[:] = np.minimum(counts, 65_535)
-        row[0] += max(0, len(s) - int(row.sum())) if counts.max() > 65_535 else 0
-    return out
+def count_vector(s: np.ndarray) -> np.ndarray:
+    """Counts of the set's shingles in about half as many groups; halves of the vector add
+    up to the counts in half as many groups."""
+    width = 1 << min(10, max(4, (len(s) // 2).bit_length()))
+    return np.bincount((_mixed(s * _MIX) & np.uint64(width - 1)).astype(np.int64), minlength=width)
+
+
+def packed(counts: np.ndarray) -> bytes:
+    """The width's logarithm, then the counts in one byte each, or in four if one doesn't fit."""
+    return bytes([len(counts).bit_length() - 1]) + counts.astype(np.uint8 if counts.max() < 256 else np.uint32).tobytes()
+
+
+def unpacked(raw: bytes) -> np.ndarray:
+    width = 1 << raw[0]
+    return np.frombuffer(raw, np.uint8 if len(raw) == width + 1 else np.uint32, offset=1).astype(np.uint32)
+
+
+def points_of(vectors: list[np.ndarray]) -> np.ndarray:
+    """Vectors folded to the least of their widths, as rows."""
+    width = min(map(len, vectors))
+    return np.stack([v.reshape(-1, width).sum(axis=0) for v in vectors]).astype(np.uint32)
 
 
 class RTree:
@@ -203,7 +218,7 @@ def page_links(ids: list[int], sets: list[np.ndarray], groups: list[int], asks:
     group = np.array([names[g] for g in groups])
     count = len(names)
     targets = np.flatnonzero(answers)
-    points, sizes = count_vectors(sets), np.array([len(s) for s in sets])
+    points, sizes = points_of([count_vector(s) for s in sets]), np.array([len(s) for s in sets])
     tree, out = RTree(points[targets], sizes[targets]), []
 
     def ask(i: int) -> int:
@@ -228,31 +243,66 @@ def page_links(ids: list[int], sets: list[np.ndarray], groups: list[int], asks:
     return out
 
 
-def _joined_pages(rows: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) found in each job of ``rows`` (job, id, component, ask, answer, shingles)."""
+def page_candidates(vectors: list[np.ndarray], groups: list[int], asks: np.ndarray, answers: np.ndarray, percent: int) -> np.ndarray:
+    """Which rows have a partner of another component that the bound leaves."""
+    names = {g: i for i, g in enumerate(dict.fromkeys(groups))}
+    group = np.array([names[g] for g in groups])
+    targets = np.flatnonzero(answers)
+    points, sizes = points_of(vectors), np.array([int(v.sum()) for v in vectors])
+    tree, alive = RTree(points[targets], sizes[targets]), np.zeros(len(vectors), bool)
+    for i in np.flatnonzero(asks).tolist():
+        if alive.all():
+            break
+        found = targets[tree.search(points[i], int(sizes[i]), percent)]
+        found = found[group[found] != group[i]]
+        if len(found):
+            alive[found] = alive[i] = True
+    return alive
+
+
+def _by_job(rows: DataFrame, last: str, fn: Callable[[str, list[tuple]], pa.RecordBatch], schema: str) -> DataFrame:
+    """``fn`` over the rows (id, component, ask, answer, ``last``) of each job; those that only ask come first."""
     dealt = rows.repartition("job").sortWithinPartitions("job", F.desc("ask"), F.asc("answer"), "id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         job, held = None, []
-
-        def done() -> pa.RecordBatch:
-            ids, groups, asks, answers, sets = zip(*held, strict=True)
-            links = page_links(list(ids), list(sets), list(groups), np.array(asks), np.array(answers), percent)
-            ends = [pa.array([x[i] for x in links], pa.int64()) for i in (0, 1)]
-            return pa.RecordBatch.from_arrays(ends, names=["a", "b"])
-
         for batch in batches:
-            cols = [batch.column(i).to_pylist() for i in range(5)]
-            for this, *row, shingles in zip(*cols, _views(batch.column(5)), strict=True):
+            for this, *row in zip(*(batch.column(i).to_pylist() for i in range(6)), strict=True):
                 if this != job and held:
-                    yield done()
+                    yield fn(job, held)
                     held = []
                 job = this
-                held.append((*row, shingles.copy()))
+                held.append(tuple(row))
         if held:
-            yield done()
+            yield fn(job, held)
+
+    return map_arrow(dealt.select("job", "id", "component", "ask", "answer", last), run, schema)
+
+
+_JOBS = "job string, id long, component long, ask boolean, answer boolean"
+
+
+def _promising(rows: DataFrame, percent: int) -> DataFrame:
+    """Rows of each job that the bound leaves a partner; of jobs that are then alike, one."""
+
+    def run(job: str, held: list[tuple]) -> pa.RecordBatch:
+        ids, groups, asks, answers, counts = zip(*held, strict=True)
+        alive = page_candidates([unpacked(c) for c in counts], list(groups), np.array(asks), np.array(answers), percent)
+        arrays = [pa.array([job] * len(ids), pa.string()), pa.array(ids, pa.int64()), pa.array(groups, pa.int64()), pa.array(asks, pa.bool_()), pa.array(answers, pa.bool_())]
+        return pa.RecordBatch.from_arrays(arrays, names=["job", "id", "component", "ask", "answer"]).filter(pa.array(alive))
+
+    return _by_job(rows, "counts", run, _JOBS)
+
+
+def _joined_pages(rows: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) found in each job."""
+
+    def run(_: str, held: list[tuple]) -> pa.RecordBatch:
+        ids, groups, asks, answers, shingles = zip(*held, strict=True)
+        links = page_links(list(ids), [np.frombuffer(s, np.uint64) for s in shingles], list(groups), np.array(asks), np.array(answers), percent)
+        return pa.RecordBatch.from_arrays([pa.array([x[i] for x in links], pa.int64()) for i in (0, 1)], names=["a", "b"])
 
-    return map_arrow(dealt.select("job", "id", "component", "ask", "answer", "shingles"), run, "a long, b long")
+    return _by_job(rows, "shingles", run, "a long, b long")
 
 
 # -- the join -----------------------------------------------------------------
@@ -294,7 +344,7 @@ def jaccard_components(docs: DataFrame, k: int = 3, percent: int = 90, id_col: s
     classes = steps.write(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
     slices = [f"keys{i}" for i in range(len(SLICES) + 1)]
     nodes = linkable.filter(F.size(slices[0]) > 0).join(classes, ["d1", "d2"]).filter("id = rep").dropDuplicates(["node"])
-    nodes = steps.write(nodes.select(F.col("node").alias("id"), "rep", "d1", "d2", "n", *slices), "nodes")
+    nodes = steps.write(nodes.select(F.col("node").alias("id"), "rep", "d1", "d2", "n", "counts", *slices), "nodes")
     joined = steps.write(components(_same_id(linkable, classes), "a", "b"), "components")
 
     def placed(members: DataFrame) -> DataFrame:
@@ -303,20 +353,27 @@ def jaccard_components(docs: DataFrame, k: int = 3, percent: int = 90, id_col: s
     def linked_in(jobs: DataFrame) -> bool:
         """Runs the jobs and merges components; whether there were any links."""
         nonlocal joined
-        jobs = steps.write(jobs, "jobs")
+        jobs = steps.write(_promising(nodes.select("id", "counts").join(bounded(steps.write(jobs, "jobs")), "id"), percent), "promising")
+        alike = jobs.groupBy("job").agg(F.count("*").alias("m"), F.sum(F.xxhash64("id", "ask", "answer").cast("decimal(38,0)")).alias("sum")).groupBy("m", "sum").agg(F.min("job").alias("job"))
+        jobs = steps.write(jobs.join(alike.select("job"), "job", "left_semi"), "jobs")
         ids = steps.write(jobs.select("id").distinct().join(nodes.select("id", "rep", "d1", "d2"), "id").withColumnsRenamed({"id": "node", "rep": "id"}), "busy")
         sets = shingle_sets(texts.join(bounded(ids.select("id").distinct()), "id", "left_semi"), k).join(bounded(ids), ["id", "d1", "d2"])
         sets = steps.write(sets.select(F.col("node").alias("id"), "shingles").dropDuplicates(["id"]), "sets")
-        links = steps.write(_joined_pages(jobs.join(sets, "id"), percent), "links")
-        steps.drop("jobs", "busy", "sets")
+        links = steps.write(_joined_pages(sets.join(bounded(jobs), "id"), percent), "links")
+        steps.drop("jobs", "promising", "busy", "sets")
         if links.isEmpty():
             return False
         joined = steps.write(_merged(joined, links), "components")
         return True
 
-    for keys in slices:
+    tested = None  # signatures of the members of shards that are done
+    for turn, keys in enumerate(slices):
         members = placed(nodes.select("id", "n", keys)).select("id", "n", "component", F.explode(keys).alias("key"))
-        shards = members.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("m"), F.sum("n").alias("load"), F.min("id").alias("centre")).filter("low <> high")
+        shards = members.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("m"), F.sum("n").alias("load"), F.min("id").alias("centre"), F.sum(F.xxhash64("id").cast("decimal(38,0)")).alias("sum")).filter("low <> high")
+        shards = shards.groupBy("m", "load", "sum").agg(F.min(F.struct("key", "centre")).alias("one")).select("one.*", "m", "load", "sum")  # many have the same members
+        shards = shards if tested is None else shards.join(tested, ["m", "load", "sum"], "left_anti")
+        shards = steps.write(shards, f"shards{turn}")
+        tested = shards.select("m", "load", "sum") if tested is None else tested.unionByName(shards.select("m", "load", "sum"))
         pages = F.greatest(F.ceil(F.col("m") / PAGE_MEMBERS), F.ceil(F.col("load") / PAGE_SHINGLES))
         members = steps.write(members.join(shards.select("key", "centre", pages.alias("pages")), "key"), "members")
         if members.isEmpty():

@@ -74,8 +74,10 @@ def test_tree_finds_all_and_prunes():
     rng = random.Random(8)
     texts = [" ".join(f"{t}-{rng.randrange(9000)}" for t in range(rng.randrange(20, 400))) for _ in range(700)]
     texts += [t + " more" for t in texts[:200]]
+    assert len(count_rtree.packed(np.array([1] * 15 + [300]))) == 65 and count_rtree.unpacked(count_rtree.packed(np.array([1] * 15 + [300])))[15] == 300
     sets = [shingle_set(t, 3) for t in texts]
-    points, sizes = count_rtree.count_vectors(sets), np.array([len(s) for s in sets])
+    packed = [count_rtree.packed(count_rtree.count_vector(s)) for s in sets]
+    points, sizes = count_rtree.points_of([count_rtree.unpacked(x) for x in packed]), np.array([len(s) for s in sets])
     tree, checked = count_rtree.RTree(points, sizes), 0
     assert sorted(tree.order.tolist()) == list(range(len(sets)))
     for i, s in enumerate(sets[:200]):
