@@ -4,9 +4,8 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
-import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -16,10 +15,7 @@ from pyspark.sql import types as T
 from ..functions import exprs as X
 from ..functions.company_words import LONG_WORDS, STOP_WORDS
 from ..graph.components import components
-from ..session import materialize
-
-#: Names to match against that one task holds at a time.
-CHOICES_AT_ONCE = 50_000
+from ..session import if_small, materialize
 
 # -- scorers ------------------------------------------------------------------
 
@@ -53,86 +49,157 @@ def token_sort_ratio(a: str, b: str) -> int:
 
 
 def token_set_ratio(a: str, b: str) -> int:
-    p, q = set(prepared(a).split()), set(prepared(b).split())
+    return _set_ratio(set(prepared(a).split()), set(prepared(b).split()))
+
+
+def _set_ratio(p: set[str], q: set[str]) -> int:
     both = " ".join(sorted(p & q))
     first, second = (f"{both} {' '.join(sorted(x))}".strip() for x in (p - q, q - p))
     return max(ratio(both, first), ratio(both, second), ratio(first, second))
 
 
-SCORERS = {"ratio": ratio, "token_sort_ratio": token_sort_ratio, "token_set_ratio": token_set_ratio}
-
-
-def _bags(texts: Sequence[str]) -> np.ndarray:
-    """Counts of characters (37 classes): their overlap bounds the common subsequence."""
-    out = np.zeros((len(texts), 37), np.int16)
-    for i, t in enumerate(texts):
-        for c in t:
-            k = ord(c)
-            out[i, k - 97 if 97 <= k <= 122 else k - 22 if 48 <= k <= 57 else 36] += 1
-    return out
-
-
-def best_matches(names: Sequence[str], choices: Sequence[str], scorer: str, cutoff: int) -> list[tuple[str | None, int]]:
-    """The best choice for each name of at least ``cutoff`` (ties: the least name).
-    Choices whose characters can't reach the best score so far aren't scored."""
-    score, exact = SCORERS[scorer], set(choices)
-    order = sorted(choices)
-    keyed = [" ".join(sorted(prepared(c).split())) if scorer != "ratio" else c for c in order]
-    bags, sizes = _bags([k.lower() for k in keyed]), np.array([len(k) for k in keyed])
-    tokens: dict[str, list[int]] = {}
-    if scorer == "token_set_ratio":
-        for i, k in enumerate(keyed):
-            for t in set(k.split()):
-                tokens.setdefault(t, []).append(i)
-    out: list[tuple[str | None, int]] = []
-    for name in names:
-        if name in exact:
-            out.append((name, 100))
-            continue
-        key = " ".join(sorted(prepared(name).split())) if scorer != "ratio" else name
-        overlap = np.minimum(bags, _bags([key.lower()])).sum(axis=1)
-        bound = np.round(200 * overlap / np.maximum(1, sizes + len(key))).astype(int) + 1
-        for t in set(key.split()) if tokens else ():
-            bound[tokens.get(t, [])] = 101  # a common token can make any score
-        best, found = cutoff - 1, None
-        for i in np.argsort(-bound, kind="stable"):
-            if bound[i] < cutoff or bound[i] < best:
-                break
-            s = score(name, order[i])
-            if s > best or (s == best and found is not None and order[i] < found):
-                best, found = s, order[i]
-        out.append((found, best if found is not None else 0))
-    return out
+# -- candidates ---------------------------------------------------------------
+
+#: Room for the rounding of limits that are whole numbers.
+_ROUND = 1e-9
+
+def _least(length: Column | int, cutoff: float) -> Column:
+    """Length that a partner of a string of ``length`` must have to reach the ratio."""
+    return F.ceil(cutoff * length / (200 - cutoff) - _ROUND)
+
+
+def sorted_tokens(c: str | Column, distinct: bool = False) -> Column:
+    """Lower-cased words of letters and digits in order, as one string."""
+    words = F.filter(F.split(F.lower(X.col(c)), r"[^\p{L}\p{N}]+"), lambda w: w != "")
+    return F.array_join(F.array_sort(F.array_distinct(words) if distinct else words), " ")
+
+
+def _grams(key: Column, q: int) -> Column:
+    """Grams of a key with a blank at both ends; a repeated one carries its number. Words
+    in another order have the same grams of two."""
+    text = F.concat(F.lit(" "), key, F.lit(" ")) if q == 2 else key
+    listed = F.array_sort(F.transform(F.sequence(F.lit(1), F.length(text) - (q - 1)), lambda i: F.substring(text, i, F.lit(q))))
+    return F.transform(listed, lambda g, i: F.concat(g, (i + 2 - F.array_position(listed, g)).cast("string")))
+
+
+def _mask(parts: Column, seed: int) -> Column:
+    """64 bits, of which each part sets one."""
+    return F.aggregate(parts, F.lit(0).cast("long"), lambda bits, x: bits.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.xxhash64(x, F.lit(seed)), F.lit(64)).cast("int"))))
+
+
+def _lacks(a: str, b: str) -> Column:
+    """At least so many parts of ``a`` are not in ``b`` (masks)."""
+    return F.bit_count(F.col(a).bitwiseAND(F.bitwise_not(F.col(b))))
+
+
+def _fronts(rows: DataFrame, parts: Column, rarity: DataFrame, keep: Callable[[Column], Column], *carried: str) -> DataFrame:
+    """(id, key, carried columns, part, its place, number of parts) for the rarest parts of
+    each key, as many as ``keep`` says of the sorted array; ``rarity``: (part, df) over the
+    keys to match against."""
+    each = rows.select("id", "key", *carried, F.explode(parts).alias("part")).join(if_small(rarity), "part", "left")
+    listed = each.groupBy("id", "key", *carried).agg(F.array_sort(F.collect_list(F.struct(F.coalesce("df", F.lit(0)).alias("df"), "part"))).alias("parts"))  # one key's own
+    return listed.select("id", "key", *carried, F.size("parts").alias("of"), F.posexplode(keep(F.col("parts"))).alias("at", "p")).select("id", "key", *carried, F.col("p.part").alias("part"), "at", "of")
+
+
+def _rarity(rows: DataFrame, parts: Column) -> DataFrame:
+    return rows.select(F.explode(parts).alias("part")).groupBy("part").agg(F.count("*").alias("df"))
+
+
+def _by_grams(names: DataFrame, choices: DataFrame, cutoff: float) -> DataFrame:
+    """Pairs (a, b) that may reach the indel ratio.
+
+    Of strings with lengths m and n that share a subsequence of L, all but 2 (m - L) +
+    (n - L) of the first one's m + 1 grams of two are also in the other: an unmatched
+    character takes two with it, one in between takes one. So at least 3 L - m - n + 1
+    are common, and with grams in one order, rarest first, one of them is among the
+    first of both strings, so far in front that enough can follow. Bit masks of characters
+    and grams, of which a pair may lack only so many, pass over most other pairs within
+    the join. Where that number could be 0 (ratios under 2/3), single
+    characters are taken, of which L are common.
+    """
+    q = 2 if cutoff >= 67 else 1
+    length, grams, letters = F.length("key"), _grams(F.col("key"), q), _grams(F.col("key"), 1)
+    total = length + _least(length, cutoff)
+    shared = lambda total: F.ceil((3 * cutoff / 200 - 1) * total + 1 - _ROUND) if q == 2 else F.ceil(cutoff / 200 * total - _ROUND)
+    first = lambda listed: F.slice(listed, 1, F.greatest(F.lit(1), F.size(listed) - shared(total) + 1).cast("int"))
+    profiled = lambda x: x.withColumns({"n": length, "c": _mask(letters, 0), "g": _mask(grams, 1), "h": _mask(grams, 2)})
+    rarity = materialize(_rarity(choices, grams), "grams")
+    a, b = (materialize(_fronts(profiled(x), grams, rarity, first, "n", "c", "g", "h").drop("key"), "fronts") for x in (names, choices))
+    a, b = (x.withColumnsRenamed({c: f"{c}_{side}" for c in x.columns if c != "part"}) for x, side in ((a, "a"), (b, "b")))
+    m, n = F.col("n_a"), F.col("n_b")
+    common = F.ceil(cutoff / 200 * (m + n) - _ROUND)  # characters
+    room = shared(m + n) <= F.least(F.col("of_a") - F.col("at_a"), F.col("of_b") - F.col("at_b"))
+    fits = (n >= _least(m, cutoff)) & (m >= _least(n, cutoff)) & room & (_lacks("c_a", "c_b") <= m - common) & (_lacks("c_b", "c_a") <= n - common)
+    for mask in ("g", "h") if q == 2 else ():
+        fits = fits & (_lacks(f"{mask}_a", f"{mask}_b") <= 2 * (m - common) + (n - common))
+    return a.join(b, "part").filter(fits).select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct()
+
+
+def _by_tokens(names: DataFrame, choices: DataFrame, cutoff: float) -> DataFrame:
+    """Pairs (a, b) of which common words make up so much of one side that they reach the
+    ratio by themselves. With words in one order, rarest first, one of the common words
+    is among the first of that side, after which less than needed is left."""
+    words = F.split("key", " ")
+    need = F.length("key") * cutoff / (200 - cutoff) - _ROUND
+    # a word belongs to the front if it and what follows, with blanks, are still as long as needed
+    length_from = lambda listed, i: F.aggregate(F.slice(listed, i + 1, F.size(listed)), F.lit(-1), lambda s, p: s + F.length(p["part"]) + 1)
+    long = lambda listed: F.filter(listed, lambda p, i: (i == 0) | (length_from(listed, i) >= need))
+    rarity = materialize(_rarity(choices, words), "words")
+    all_a, all_b = (x.select(F.col("id").alias(side), F.explode(F.array_distinct(words)).alias("part"), F.length("key").alias("n")) for x, side in ((names, "a"), (choices, "b")))
+    few_a, few_b = (_fronts(x, F.array_distinct(words), rarity, long).select(F.col("id").alias(side), "part", need.alias("need")) for x, side in ((names, "a"), (choices, "b")))
+    pair = lambda few, every: few.join(every, "part").filter("n >= need").select("a", "b")
+    return pair(few_a, all_b).unionByName(pair(few_b, all_a)).distinct()
+
+
+def candidates(names: DataFrame, choices: DataFrame, scorer: str, cutoff: int) -> DataFrame:
+    """Pairs (a, b) of ids of ``names`` and ``choices`` (id, key) among which are all that
+    reach ``cutoff``; found by equi-joins, never by comparing each with each."""
+    least = cutoff - 0.5  # scores are rounded
+    pairs = _by_grams(names, choices, least)
+    return pairs.unionByName(_by_tokens(names, choices, least)).distinct() if scorer == "token_set_ratio" else pairs
+
+
+#: Scores of two keys of equal kind.
+KEY_SCORERS = {"ratio": ratio, "token_sort_ratio": ratio, "token_set_ratio": lambda a, b: _set_ratio(set(a.split()), set(b.split()))}
 
 
 def fuzzy_match(names: DataFrame, choices: DataFrame, column: str, scorer: str = "token_sort_ratio", cutoff: int = 80) -> DataFrame:
-    """``(column, match, score)`` for the distinct names. The choices go to the tasks
-    in parts of bounded size, and the best of the parts wins."""
-    distinct = names.select(column).filter(F.col(column).isNotNull()).distinct()
-    listed = choices.select(choices.columns[0]).filter(F.col(choices.columns[0]).isNotNull()).distinct()
-    parts = max(1, -(-listed.count() // CHOICES_AT_ONCE))
-    found = None
-    for part in range(parts):
-        own = listed.filter(F.pmod(F.xxhash64(choices.columns[0]), F.lit(parts)) == part)
-        against = [r[0] for r in own.collect()]  # CHOICES_AT_ONCE on average
-
-        def run(batches: Iterator[pa.RecordBatch], against=against) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                best = best_matches(batch.column(0).to_pylist(), against, scorer, cutoff)
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([m for m, _ in best], pa.string()), pa.array([s for _, s in best], pa.int32())], names=[column, "match", "score"])
-
-        one = distinct.mapInArrow(run, f"{column} string, match string, score int")
-        found = one if found is None else found.unionByName(one)
-    if parts == 1:
-        return found
-    return found.groupBy(column).agg(F.max(F.struct("score", F.col("match"))).alias("b")).select(column, "b.match", "b.score")
+    """``(column, match, score)`` for the distinct names: the best choice of at least
+    ``cutoff``, itself if it is a choice, else the least of equally good ones; null and 0
+    if there is none. Only candidates of lossless blocks are scored."""
+    distinct = names.select(F.col(column).alias("name")).filter("name is not null").distinct()
+    listed = choices.select(F.col(choices.columns[0]).alias("name")).filter("name is not null").distinct()
+    distinct = materialize(distinct.join(listed.withColumn("exact", F.lit(True)), "name", "left"), "names")
+    key = F.col("name") if scorer == "ratio" else sorted_tokens("name", distinct=scorer == "token_set_ratio")
+    keyed = lambda df: df.select("name", key.alias("key")).filter("key <> ''")
+    # what has the same key is one; of choices the least name stands for it
+    one = lambda df: df.groupBy("key").agg(F.min("name").alias("least")).withColumn("id", F.monotonically_increasing_id())
+    open_ = materialize(keyed(distinct.filter("exact is null")), "open")
+    asked, answers = materialize(one(open_), "asked"), materialize(one(keyed(listed)), "choices")
+    pairs = candidates(asked.select("id", "key"), answers.select("id", "key"), scorer, cutoff)
+    texts = pairs.join(asked.select(F.col("id").alias("a"), F.col("key").alias("ka")), "a").join(answers.select(F.col("id").alias("b"), F.col("key").alias("kb"), "least"), "b")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        score = KEY_SCORERS[scorer]
+        for batch in batches:
+            scores = [score(x, y) for x, y in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)]
+            out = pa.RecordBatch.from_arrays([batch.column(0), batch.column(3), pa.array(scores, pa.int32())], names=["a", "least", "score"])
+            yield out.filter(pa.array([s >= cutoff for s in scores], pa.bool_()))
+
+    scored = texts.select("a", "ka", "kb", "least").mapInArrow(run, "a long, least string, score int")
+    best = scored.groupBy("a").agg(F.min(F.struct((-F.col("score")).alias("k"), "least")).alias("t"))
+    best = best.join(asked.select(F.col("id").alias("a"), "key"), "a").select("key", F.col("t.least").alias("match"), (-F.col("t.k")).alias("score"))
+    found = open_.join(best, "key").select("name", "match", "score")
+    out = distinct.join(found, "name", "left")
+    match = F.when(F.col("exact"), F.col("name")).otherwise(F.col("match"))
+    return out.select(F.col("name").alias(column), match.alias("match"), F.when(F.col("exact"), 100).otherwise(F.coalesce("score", F.lit(0))).cast("int").alias("score"))
 
 
 def match_names(names: DataFrame, choices: DataFrame, column: str) -> DataFrame:
     """Two rounds: sorted tokens, of which scores over 90 count, then token sets from 80."""
-    first = materialize(fuzzy_match(names, choices, column, "token_sort_ratio", 80), "fuzzy")
-    sure = first.filter("score > 90")
-    rest = first.filter("score <= 90").select(column)
+    first = materialize(fuzzy_match(names, choices, column, "token_sort_ratio", 91), "fuzzy")
+    sure = first.filter("match is not null")
+    rest = first.filter("match is null").select(column)
     second = fuzzy_match(rest, choices, column, "token_set_ratio", 80).filter("match is not null")
     return sure.unionByName(second)
 

@@ -483,6 +483,31 @@ def _fuzzy(scorer: str):
 
 QUERIES["fuz01_token_sort"] = _fuzzy("token_sort_ratio")
 QUERIES["fuz02_two_rounds"] = lambda spark, sf: M.match_names(V.view(spark, sf, "SELECT DISTINCT upper(p_name) AS vessel_name FROM {part}"), V.view(spark, sf, V.REGISTRY).select("vessel_name"), "vessel_name")
+#: A shop's client records against the master records: their names are misspelt, turned around, cut or abbreviated, and grow with the table.
+CLIENT_RECORDS = "SELECT DISTINCT name FROM {clients} WHERE client_id <> master_id"
+CLIENT_MASTERS = "SELECT DISTINCT name FROM {clients} WHERE client_id = master_id"
+
+
+def _fuzzy_clients(match: Callable[..., DataFrame], *settings):
+    return lambda spark, sf: match(V.view(spark, sf, CLIENT_RECORDS), V.view(spark, sf, CLIENT_MASTERS), "name", *settings)
+
+
+QUERIES["fuz03_client_token_sort"] = _fuzzy_clients(M.fuzzy_match, "token_sort_ratio", 80)
+QUERIES["fuz04_client_token_set"] = _fuzzy_clients(M.fuzzy_match, "token_set_ratio", 80)
+QUERIES["fuz05_client_two_rounds"] = _fuzzy_clients(M.match_names)
+
+#: Vessels named after the shop's vendors; shipments spell the names by rule: as they are, turned, cut, with a letter doubled, with a title.
+FLEET = "SELECT upper(name) AS vessel_name, CAST(9100000 + vendor_id AS STRING) AS vessel_imo, 'container_ship' AS vessel_type FROM {vendors} WHERE name IS NOT NULL"
+FLEET_SHIPMENTS = """
+SELECT l_orderkey * 10 + l_linenumber AS shipment_id, CASE WHEN l_linenumber = 1 AND l_partkey % 3 = 0 THEN CAST(9100000 + l_suppkey AS STRING) END AS vessel_imo,
+  CASE WHEN l_partkey % 50 = 0 THEN NULL WHEN v.name IS NULL THEN upper(p_name) ELSE CASE l_partkey % 7
+    WHEN 0 THEN upper(v.name) WHEN 1 THEN concat(split_part(upper(v.name), ' ', 2), ' ', split_part(upper(v.name), ' ', 1))
+    WHEN 2 THEN concat(substr(upper(v.name), 1, 3), substr(upper(v.name), 5)) WHEN 3 THEN concat(substr(upper(v.name), 1, 6), substr(upper(v.name), 6))
+    WHEN 4 THEN concat('MV ', upper(v.name)) WHEN 5 THEN concat(upper(v.name), ' ', CAST(l_partkey % 11 AS STRING)) ELSE substr(upper(v.name), 1, 9) END END AS vessel_name,
+  CASE WHEN l_returnflag <> 'R' THEN 'container_ship' ELSE 'non_container_ship' END AS vessel_type
+FROM {lineitem} JOIN {part} ON l_partkey = p_partkey LEFT JOIN {vendors} v ON l_suppkey = v.vendor_id
+"""
+QUERIES["ves02_standardise_fleet"] = lambda spark, sf: C.standardise_vessels(V.view(spark, sf, FLEET_SHIPMENTS), V.view(spark, sf, FLEET))
 QUERIES["str03_prepared_names"] = lambda spark, sf: _companies(spark, sf).select("company", M.prepared_name("company").alias("prepared"))
 QUERIES["ngr01_ngram_groups"] = lambda spark, sf: M.ngram_groups(_companies(spark, sf).select(M.prepared_name("company").alias("name")), "name", 3, 0.8)
 QUERIES["cmp01_group_companies"] = lambda spark, sf: M.group_companies(_companies(spark, sf), "company", "address")
