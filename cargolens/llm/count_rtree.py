@@ -368,21 +368,23 @@ def jaccard_components(docs: DataFrame, k: int = 3, percent: int = 90, id_col: s
 
     tested = None  # signatures of the members of shards that are done
     for turn, keys in enumerate(slices):
-        members = placed(nodes.select("id", "n", keys)).select("id", "n", "component", F.explode(keys).alias("key"))
-        shards = members.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("m"), F.sum("n").alias("load"), F.min("id").alias("centre"), F.sum(F.xxhash64("id").cast("decimal(38,0)")).alias("sum")).filter("low <> high")
+        rows_of = placed(nodes.select("id", "n", keys)).select("id", "n", "component", F.explode(keys).alias("key"))
+        several = rows_of.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high").select("key")
+        members = steps.write(rows_of.join(bounded(steps.write(several, "several")), "key"), "members")
+        shards = members.groupBy("key").agg(F.count("*").alias("m"), F.sum("n").alias("load"), F.min("id").alias("centre"), F.sum(F.xxhash64("id").cast("decimal(38,0)")).alias("sum"))
         shards = shards.groupBy("m", "load", "sum").agg(F.min(F.struct("key", "centre")).alias("one")).select("one.*", "m", "load", "sum")  # many have the same members
         shards = shards if tested is None else shards.join(tested, ["m", "load", "sum"], "left_anti")
         shards = steps.write(shards, f"shards{turn}")
         tested = shards.select("m", "load", "sum") if tested is None else tested.unionByName(shards.select("m", "load", "sum"))
         pages = F.greatest(F.ceil(F.col("m") / PAGE_MEMBERS), F.ceil(F.col("load") / PAGE_SHINGLES))
-        members = steps.write(members.join(shards.select("key", "centre", pages.alias("pages")), "key"), "members")
+        members = steps.write(members.join(bounded(shards.select("key", "centre", pages.alias("pages"))), "key"), "members")
         if members.isEmpty():
             continue
         linked_in(_first_jobs(members))
         split = members.filter("pages > 1")
         if not split.isEmpty():
             linked_in(_last_jobs(placed(split.drop("component")), steps))
-    steps.drop("members", "outside", "nodes")
+    steps.drop("members", "several", "outside", "nodes")
 
     found = classes.join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = found.groupBy("component").agg(F.min("rep").alias("component_id"))
