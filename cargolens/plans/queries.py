@@ -619,7 +619,9 @@ _LPA_ROUND = ", l{j} AS (SELECT id, coalesce(new, c) AS c FROM l{i} LEFT JOIN (S
 ORACLE_SQL["gra04_label_propagation"] = V.oracle(_PARTY_SQL + ", both_ends AS MATERIALIZED (SELECT src, dst FROM e UNION ALL SELECT dst, src FROM e), l0 AS (SELECT id, id AS c FROM n)" + "".join(_LPA_ROUND.format(i=i, j=i + 1).replace(f"l{i + 1} AS (", f"l{i + 1} AS MATERIALIZED (") for i in range(10)) + " SELECT id, c AS community, count(*) OVER (PARTITION BY c) AS size FROM l10")
 
 
-QUERIES["gra05_louvain"] = lambda spark, sf: K.louvain(_parties(spark, sf))
+#: Ends of a level: sweeps and least growth of modularity, the published defaults of the method.
+LEVEL_ENDS = {"sweeps": 10, "tolerance": 1e-4}
+QUERIES["gra05_louvain"] = lambda spark, sf: K.louvain(_parties(spark, sf), **LEVEL_ENDS)
 #: The reference's resolution for Leiden.
 GAMMA = 5000.0
 QUERIES["gra06_leiden"] = lambda spark, sf: K.leiden(_parties(spark, sf), gamma=GAMMA)
