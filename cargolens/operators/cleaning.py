@@ -114,9 +114,9 @@ def unique_registry(registry: DataFrame, name: str = "vessel_name", imo: str = "
     return one.groupBy(imo).agg(F.min(F.struct(name, *rest)).alias("r")).select(imo, "r.*")
 
 
-def standardise_vessels(df: DataFrame, registry: DataFrame, imo: str = "vessel_imo", name: str = "vessel_name", kind: str = "vessel_type", originals: bool = False, scores: bool = True) -> DataFrame:
-    """Names and types from the registry: by IMO (score 100), else by the best match
-    of the name in two rounds. What matches nothing keeps its own name and type."""
+def standardise_vessels(df: DataFrame, registry: DataFrame, imo: str = "vessel_imo", name: str = "vessel_name", kind: str = "vessel_type", originals: bool = False, scores: bool = True, fuzzy: bool = True) -> DataFrame:
+    """Names and types from the registry: by IMO (score 100), else (``fuzzy``) by the best
+    match of the name in two rounds. What matches nothing keeps its own name and type."""
     from .matching import match_names
 
     known = unique_registry(registry, name, imo)
@@ -125,7 +125,7 @@ def standardise_vessels(df: DataFrame, registry: DataFrame, imo: str = "vessel_i
     v = known.select(F.col(imo).alias("_imo"), F.col(name).alias("_name"), F.col(kind).alias("_kind"))
     joined = df.join(if_small(v), F.col("vessel_imo_bol") == F.col("_imo"), "left")
     lost = joined.filter("_imo is null and vessel_name_bol is not null").select(F.col("vessel_name_bol").alias(name)).distinct()
-    found = match_names(lost, known.select(name), name)
+    found = match_names(lost, known.select(name), name) if fuzzy else lost.limit(0).select(name, F.lit("").alias("match"), F.lit(0).alias("score"))
     table = found.join(v, found["match"] == v["_name"]).select(F.col(name).alias("_lost"), F.col("_imo").alias("_imo2"), F.col("_name").alias("_name2"), F.col("_kind").alias("_kind2"), "score")
     out = joined.join(table, F.col("_imo").isNull() & (F.col("vessel_name_bol") == F.col("_lost")), "left")
     out = out.withColumn("match_score", F.when(F.col("_imo").isNotNull(), 100).otherwise(F.coalesce("score", F.lit(0))).cast("int"))
@@ -195,10 +195,12 @@ def quantiles_and_ends(df: DataFrame, columns: Sequence[str], share: float) -> d
     ever holds a column. NaN counts as null; infinities are values like others (between
     -inf and a number the quantile is -inf); both are null for a column without values.
     """
+    if not columns:
+        return {}
     numbers = [F.col(c).cast("double") for c in columns]
     steps = Steps(df.sparkSession)
     values = steps.write(df.select(*(F.when(~F.isnan(x), x).alias(f"v{i}") for i, x in enumerate(numbers))), "values")
-    rows = _sketched(values, len(columns)) if columns else []
+    rows = _sketched(values, len(columns))
     found: dict[int, float] = {}
     open_ = {i: (r["n"] - 1) * share for i, r in enumerate(rows) if r["n"]}
     room = SKETCH_ROOM

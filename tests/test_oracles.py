@@ -4,7 +4,7 @@ import math
 
 import pytest
 
-from cargolens.plans import io_queries, search_queries  # noqa: F401  (add their queries)
+from cargolens.plans import io_queries, process_queries, search_queries, store_queries  # noqa: F401  (add their queries)
 from cargolens.plans import queries as Q
 
 SLOW = ("gra02", "gra03", "gra19", "agg14", "gra20")
