@@ -625,6 +625,8 @@ QUERIES["gra05_louvain"] = lambda spark, sf: K.louvain(_parties(spark, sf), **LE
 #: The reference's resolution for Leiden.
 GAMMA = 5000.0
 QUERIES["gra06_leiden"] = lambda spark, sf: K.leiden(_parties(spark, sf), gamma=GAMMA)
+#: At the resolution 1, communities have many members.
+QUERIES["gra06_leiden_wide"] = lambda spark, sf: K.leiden(_parties(spark, sf), levels=2, **LEVEL_ENDS)
 QUERIES["gra10_betweenness"] = lambda spark, sf: paths.betweenness(_parties(spark, sf)).withColumn("betweenness", F.round("betweenness", 6))
 QUERIES["gra14_without_missing_names"] = lambda spark, sf: _graph(spark, sf, _PARTIES, _PARTY_EDGES).named().nodes.select("id")
 ORACLE_SQL["gra14_without_missing_names"] = V.oracle(f", n0 AS ({_nodes_sql(_PARTIES)}) SELECT id FROM n0 WHERE NOT ends_with(id, ':N/A')")
@@ -660,7 +662,43 @@ SELECT id, round(0.15 + coalesce(g, 0), 6) AS rank FROM n LEFT JOIN (SELECT dst,
   r AS (SELECT id, 0.15 + coalesce(g, 0) AS rank FROM n LEFT JOIN (SELECT dst, sum(0.85 * 0.15 * w / k) AS g FROM e JOIN o ON src = s GROUP BY dst) ON id = dst)
 SELECT id, round(rank, 6) AS rank, round((rank - (SELECT min(rank) FROM r)) / (SELECT max(rank) - min(rank) FROM r), 6) AS rank_scaled FROM r"""
     )
-QUERIES["gra08_pagerank_carriers"] = lambda spark, sf: G.pagerank_if_connected(_graph(spark, sf, ("Carrier", "Shipper", "PortOfLading", "PortOfUnlading"), ("CARRIES_FROM", "CARRIES_TO", "SHIPS_BY")), directed=False)
+_CARRIERS = (("Carrier", "Shipper", "PortOfLading", "PortOfUnlading"), ("CARRIES_FROM", "CARRIES_TO", "SHIPS_BY"))
+QUERIES["gra08_pagerank_carriers"] = lambda spark, sf: G.pagerank_if_connected(_graph(spark, sf, *_CARRIERS), directed=False)
+#: Rounds of the queries whose SQL is unrolled.
+RANK_ROUNDS = 6
+
+
+def _rank_rounds_sql(rounds: int = RANK_ROUNDS, weight: str = "1.0") -> str:
+    """PageRank from the CTEs n(id) and e(src, dst, ...), both directions counted, round by round."""
+    both = f", w AS MATERIALIZED (SELECT src, dst, sum(w) AS w FROM (SELECT src, dst, {weight} AS w FROM e UNION ALL SELECT dst, src, {weight} FROM e) GROUP BY 1, 2), o AS MATERIALIZED (SELECT src AS s, sum(w) AS k FROM w GROUP BY 1), r0 AS (SELECT id, 0.15 AS rank FROM n)"
+    step = ", r{j} AS MATERIALIZED (SELECT id, 0.15 + coalesce(g, 0) AS rank FROM n LEFT JOIN (SELECT dst, sum(0.85 * rank * w / k) AS g FROM w JOIN o ON src = s JOIN r{i} ON src = id GROUP BY dst) ON id = dst)"
+    return both + "".join(step.format(i=i, j=i + 1) for i in range(rounds))
+
+
+#: Carriers, shippers and ports, ranked in rounds over links of both directions: nodes pass on what they got.
+QUERIES["gra08_pagerank_rounds"] = lambda spark, sf: G.pagerank(_graph(spark, sf, *_CARRIERS), directed=False, iterations=RANK_ROUNDS, tolerance=0.0).withColumn("rank", F.round("rank", 6))
+ORACLE_SQL["gra08_pagerank_rounds"] = V.oracle(f", n AS ({_nodes_sql(_CARRIERS[0])}), e AS ({_edges_sql(_CARRIERS[1])}){_rank_rounds_sql()} SELECT id, round(rank, 6) AS rank FROM r{RANK_ROUNDS}")
+
+#: Parties in communities that SQL can find and that aren't trivial: the last digits of their names.
+_DIGIT = "substr(id, length(id) - 1, 1)"
+
+
+def _ranked_by_digit(spark: SparkSession, sf: str) -> DataFrame:
+    g = _parties(spark, sf)
+    return G.pagerank_in_communities(g, g.nodes.select("id", F.expr(_DIGIT).alias("community")), directed=False, iterations=RANK_ROUNDS, tolerance=0.0)
+
+
+_BY_DIGIT = V.oracle(
+    _PARTY_SQL.replace(", e AS (", ", e0 AS (") + f", e AS (SELECT * FROM e0 WHERE {_DIGIT.replace('id', 'src')} = {_DIGIT.replace('id', 'dst')}){_rank_rounds_sql()}"
+    f", c AS (SELECT id, rank, {_DIGIT} AS community FROM r{RANK_ROUNDS}), z AS (SELECT community, count(*) AS size, min(rank) AS lo, max(rank) AS hi FROM c GROUP BY 1)"
+    ", s AS (SELECT id, community, size, CASE WHEN size > 1 THEN rank ELSE 0 END AS rank, CASE WHEN size > 1 AND hi > lo THEN (rank - lo) / (hi - lo) ELSE 0 END AS rank_scaled FROM c JOIN z USING (community))"
+)
+QUERIES["gra09_ranked_by_digit"] = lambda spark, sf: _ranked_by_digit(spark, sf).select("id", "community", F.round("rank", 6).alias("rank"), F.round("rank_scaled", 5).alias("rank_scaled"))
+ORACLE_SQL["gra09_ranked_by_digit"] = f"{_BY_DIGIT} SELECT id, community, round(rank, 6) AS rank, round(rank_scaled, 5) AS rank_scaled FROM s"
+QUERIES["gra16_ranks_by_digit"] = lambda spark, sf: G.community_ranks(_ranked_by_digit(spark, sf)).select("community", "size", F.round("rank_min", 6).alias("rank_min"), F.round("rank_max", 6).alias("rank_max"))
+ORACLE_SQL["gra16_ranks_by_digit"] = f"{_BY_DIGIT} SELECT community, count(*) AS size, round(min(rank), 6) AS rank_min, round(max(rank), 6) AS rank_max FROM s GROUP BY 1"
+QUERIES["gra17_average_by_digit"] = lambda spark, sf: G.community_average(_ranked_by_digit(spark, sf)).select("id", "community", "size", F.round("rank_avg", 0).alias("rank_avg"))
+ORACLE_SQL["gra17_average_by_digit"] = f"{_BY_DIGIT} SELECT id, community, size, round(avg(rank) OVER (PARTITION BY community) * 1e6, 0) AS rank_avg FROM s"
 
 
 def _communities(spark: SparkSession, sf: str) -> tuple[Projection, DataFrame]:
