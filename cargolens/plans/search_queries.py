@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..graph.fulltext import B, K1, PLACES, build_index, search
+from ..graph.vector_knn import nearest
 from . import fixtures as V
 from .queries import ORACLE_SQL, QUERIES
 
@@ -47,3 +48,6 @@ SELECT query, rank, id, score FROM (SELECT *, CAST(row_number() OVER (PARTITION
 _register("fts01_party_names", NAMES, NAME_QUERIES)
 _register("fts02_client_names", CLIENTS, CLIENT_QUERIES)
 
+
+#: Neighbours over whole vectors (a search, held to a recall of 0.9 against all pairs by the tests).
+QUERIES["gra11_knn_vectors"] = lambda spark, sf: nearest(spark.read.parquet(f"{sf}/embeddings.parquet"), "embedding", 14, id_col="vec_id")
