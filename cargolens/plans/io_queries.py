@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import io
 import uuid
+import zipfile
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,7 +14,7 @@ from ..graph import algorithms as G
 from ..graph import build as B
 from ..graph import project
 from ..operators import cleaning as C
-from ..session import work_dir
+from ..session import materialize, work_dir
 from ..sources import scan, sinks
 from . import fixtures as V
 from . import marts
@@ -56,6 +59,35 @@ Q.ORACLE_SQL["src01_raw_manifests"] = V.oracle(
 )
 
 
+#: Orders whose rows one archive holds.
+_ORDERS_EACH = 20_000
+
+
+def _packed(rows: pd.DataFrame) -> pd.DataFrame:
+    """One archive: two members in nested folders, a note, and a member whose checksum is wrong."""
+    raw = io.BytesIO()
+    with zipfile.ZipFile(raw, "w", zipfile.ZIP_DEFLATED) as archive:
+        parts = {"a.csv": rows.iloc[::2], "more/b.csv": rows.iloc[1::2]}
+        for name, part in parts.items():
+            archive.writestr(name, part[["bill", "vessel", "marks", "code"]].to_csv(index=False, header=list(MANIFEST)))
+        archive.writestr("note.txt", "no rows")
+        lost = zipfile.ZipInfo("more/broken.csv")
+        archive.writestr(lost, "a,b,c,d\nBROKEN,BROKEN,BROKEN,BROKEN\n", compress_type=zipfile.ZIP_STORED)
+    content = raw.getvalue().replace(b"BROKEN,BROKEN", b"BROKEN,broken", 1)
+    first = rows.iloc[0]
+    return pd.DataFrame({"path": [f"raw/us/2001{first['m']:02d}_manifest_{first['part']}.zip"], "content": [content]})
+
+
+def _archived_manifests(spark: SparkSession, sf: str) -> DataFrame:
+    rows = V.view(spark, sf, _RAW.replace("month(l_shipdate) AS m", f"month(l_shipdate) AS m, l_orderkey div {_ORDERS_EACH} AS part"))
+    packed = rows.groupBy("m", "part").applyInPandas(_packed, "path string, content binary")
+    return scan.read_archived_manifests(materialize(packed, "archives"), MANIFEST, renames={"vessel_name": "vessel"}, broken="skip")
+
+
+Q.QUERIES["src14_archived_manifests"] = _archived_manifests
+Q.ORACLE_SQL["src14_archived_manifests"] = Q.ORACLE_SQL["src01_raw_manifests"]
+
+
 def _dimension(reader, view: str, columns: dict[str, str]):
     def run(spark: SparkSession, sf: str) -> DataFrame:
         path = _new_path(spark, "dimension")

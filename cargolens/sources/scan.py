@@ -5,12 +5,13 @@ from __future__ import annotations
 import re
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schema
 from ..functions import exprs as X
+from .archives import unpacked
 
 
 def snake(name: str) -> str:
@@ -47,7 +48,10 @@ def read_manifests(
     reader = spark.read.schema(schema.raw(list(header))).option("header", True).option("escape", '"').option("recursiveFileLookup", True).option("pathGlobFilter", pattern)
     df = reader.csv(paths if isinstance(paths, str) else list(paths))
     wanted = list(columns) if columns else [c for c in header if c not in skip]
-    path = F.col("_metadata.file_path")
+    return _cleaned(df, wanted, F.col("_metadata.file_path"), country, report_month, dedupe, drop, renames)
+
+
+def _cleaned(df: DataFrame, wanted: Sequence[str], path: Column, country: bool, report_month: bool, dedupe: bool, drop: Sequence[str], renames: Mapping[str, str] | None) -> DataFrame:
     extra = {}
     if report_month:
         extra["report_month"] = F.try_to_date(F.regexp_extract(path, r"([0-9]{6})[^/]*$", 1), "yyyyMM")
@@ -60,6 +64,24 @@ def read_manifests(
     return normalise_headers(df, renames).drop(*drop)
 
 
+def read_archived_manifests(
+    archives: DataFrame,
+    header: Sequence[str],
+    columns: Sequence[str] | None = None,
+    skip: Sequence[str] = ("day", "month", "year"),
+    country: bool = True,
+    report_month: bool = True,
+    dedupe: bool = True,
+    drop: Sequence[str] = ("unnamed_0",),
+    renames: Mapping[str, str] | None = None,
+    broken: str = "fail",
+) -> DataFrame:
+    """As ``read_manifests``, from packed months: ``archives`` (path, content) as
+    ``archives.files`` gives them. The month and the country come from the archive's path."""
+    wanted = list(columns) if columns else [c for c in header if c not in skip]
+    return _cleaned(unpacked(archives, header, wanted, broken=broken), wanted, F.col("archive"), country, report_month, dedupe, drop, renames)
+
+
 def read_processed(spark: SparkSession, paths: str | Sequence[str], columns: Sequence[str] | None = None, dedupe: bool = False) -> DataFrame:
     df = spark.read.parquet(*([paths] if isinstance(paths, str) else paths))
     df = df.select(*columns) if columns else df
