@@ -151,9 +151,12 @@ def _(d):
     return C.detect_dates(d.select("id", F.col("day").cast("string").alias("a"), F.col("day_text").alias("b")))
 
 
-@dirty("prj17_one_hot", "SELECT id, CAST(coalesce(token_text = '?', false) AS INT) AS \"t_?\", CAST(coalesce(token_text = 'A', false) AS INT) AS t_A, CAST(coalesce(token_text = 'N', false) AS INT) AS t_N, CAST(coalesce(token_text = 'R', false) AS INT) AS t_R FROM dirty WHERE token_text IN ('?', 'A', 'N', 'R') OR token_text IS NULL")
+_TOKENS = ("?", "????", "################", "A", "N", "R")
+
+
+@dirty("prj17_one_hot", "SELECT id, " + ", ".join(f"CAST(coalesce(token_text = '{t}', false) AS INT) AS \"t_{t}\"" for t in _TOKENS) + " FROM dirty")
 def _(d):
-    return C.one_hot(d.filter("token_text in ('?', 'A', 'N', 'R') or token_text is null").select("id", F.col("token_text").alias("t")), ["t"])
+    return C.one_hot(d.select("id", F.col("token_text").alias("t")), ["t"])
 
 
 @dirty("prj18_plain_types", "SELECT id, CAST(l_linenumber AS BIGINT) AS a, CAST(CASE WHEN l_linenumber > 3 THEN l_linenumber END AS DOUBLE) AS b FROM dirty")
@@ -167,7 +170,10 @@ def _(d):
 
 
 QUERIES["prj19_mixed_types"] = lambda spark, sf: spark.createDataFrame([(c,) for c in C.mixed_types(V.view(spark, sf, DIRTY))], "column_name string")
-ORACLE_SQL["prj19_mixed_types"] = "SELECT unnest(['day_text', 'int_text']) AS column_name"
+ORACLE_SQL["prj19_mixed_types"] = V.oracle(
+    " UNION ALL ".join(f"SELECT '{c}' AS column_name FROM dirty HAVING count(TRY_CAST({c} AS DOUBLE)) > 0 AND count(TRY_CAST({c} AS DOUBLE)) < count({c})" for c in ("token_text", "int_text", "combined", "list_text", "tagged", "day_text")),
+    dirty=DIRTY,
+)
 
 # -- filters, joins -----------------------------------------------------------
 
@@ -177,10 +183,10 @@ def _(s):
     return B.container_rows(s).select("shipment_id", "consignee_name")
 
 
-@query("flt02_since", "SELECT shipment_id, arrival_date_actual FROM shipments WHERE arrival_date_actual >= DATE '1998-01-01' AND arrival_date_estimate >= DATE '1998-01-01'")
+@query("flt02_since", "SELECT shipment_id, arrival_date_actual FROM shipments WHERE arrival_date_actual >= DATE '1998-01-01' AND arrival_date_estimate >= DATE '1998-01-01' AND arrival_date_estimate_dirty >= DATE '1998-01-01'")
 def _(s):
     since = F.lit("1998-01-01").cast("date")
-    return s.filter((F.col("arrival_date_actual") >= since) & (F.col("arrival_date_estimate") >= since)).select("shipment_id", "arrival_date_actual")
+    return s.filter((F.col("arrival_date_actual") >= since) & (F.col("arrival_date_estimate") >= since) & (F.col("arrival_date_estimate_dirty") >= since)).select("shipment_id", "arrival_date_actual")
 
 
 @query("flt04_predicates", "SELECT shipment_id, carrier_code FROM shipments WHERE consignee_name IS NOT NULL AND carrier_code IN ('Brand#11', 'Brand#12', 'Brand#13') AND quantity > 10 AND quantity < 40 AND starts_with(vessel_name, 'S')")
@@ -418,14 +424,17 @@ def _(s):
     "mth06_classifier_metrics",
     """, b AS (SELECT arrival_date_delay > 0 AS y, quantity > 25 AS p, quantity / 51 AS q FROM shipments),
   c AS (SELECT count(*) FILTER (y AND p) AS tp, count(*) FILTER (NOT y AND p) AS fp, count(*) FILTER (y AND NOT p) AS fn, count(*) FILTER (NOT y AND NOT p) AS tn,
-    avg(-CASE WHEN y THEN ln(q) ELSE ln(1 - q) END) AS ll, avg((q - CAST(y AS INT)) ** 2) AS br FROM b)
+    avg(-CASE WHEN y THEN ln(q) ELSE ln(1 - q) END) AS ll, avg((q - CAST(y AS INT)) ** 2) AS br FROM b),
+  h AS (SELECT q, count(*) FILTER (y) AS hits, count(*) AS m FROM b GROUP BY q), run AS (SELECT hits, sum(hits) OVER (ORDER BY q DESC) / sum(m) OVER (ORDER BY q DESC) AS pr FROM h), ap AS (SELECT sum(pr * hits) / sum(hits) AS ap FROM run),
+  k AS (SELECT *, tp + fp + fn + tn AS n, ((tp + fp) * (tp + fn) + (fn + tn) * (fp + tn)) / ((tp + fp + fn + tn) ** 2) AS chance FROM c)
 SELECT tp, fp, fn, tn, round(ll, 6) AS log_loss, round(br, 6) AS brier, round((tp / (tp + fn) + tn / (tn + fp)) / 2, 6) AS auc, round((tp + tn) / (tp + fp + fn + tn), 6) AS accuracy,
-  round(2 * tp / (2 * tp + fp + fn), 6) AS f1, round((tp * tn - fp * fn) / (sqrt((tp + fp) * (tp + fn)) * sqrt((tn + fp) * (tn + fn))), 6) AS mcc FROM c""",
+  round(2 * tp / (2 * tp + fp + fn), 6) AS f1, round((tp * tn - fp * fn) / (sqrt((tp + fp) * (tp + fn)) * sqrt((tn + fp) * (tn + fn))), 6) AS mcc,
+  round(tp / (tp + fn), 6) AS recall, round(tp / (tp + fp), 6) AS precision, round(((tp + tn) / n - chance) / (1 - chance), 6) AS kappa, round(fp / (fp + tn), 6) AS fpr, round(fn / (fn + tp), 6) AS fnr, round(tn / (tn + fp), 6) AS tnr, round(tn / (tn + fn), 6) AS npv, round(fp / (fp + tp), 6) AS fdr, round(ap, 6) AS average_precision FROM k, ap""",
 )
 def _(s):
     rows = s.select((F.col("arrival_date_delay") > 0).cast("int").alias("y"), (F.col("quantity") > 25).cast("int").alias("p"), (F.col("quantity") / 51).alias("q"))
     m = metrics.binary_metrics(rows, "y", "p", "q")
-    return m.select("tp", "fp", "fn", "tn", *(F.round(c, 6).alias(c) for c in ("log_loss", "brier", "auc", "accuracy", "f1", "mcc")))
+    return m.select("tp", "fp", "fn", "tn", *(F.round(c, 6).alias(c) for c in m.columns if c not in ("tp", "fp", "fn", "tn")))
 
 
 @query("out01_quantile_mask", "SELECT shipment_id, cif, cif > (SELECT quantile_cont(cif, 0.99) FROM shipments) AS cif_outlier FROM shipments")
@@ -736,8 +745,8 @@ SELECT id, community, score, CAST(trunc(avg(score) OVER (PARTITION BY community)
 )
 QUERIES["gra19_community_sizes"] = lambda spark, sf: _parties_wcc(spark, sf).groupBy("component").agg(F.count("*").alias("size"))
 ORACLE_SQL["gra19_community_sizes"] = ORACLE_SQL["gra02_wcc"].replace("SELECT id, component, count(*) OVER (PARTITION BY component) AS size FROM (SELECT id, min(c) AS component FROM r GROUP BY id)", "SELECT component, count(*) AS size FROM (SELECT id, min(c) AS component FROM r GROUP BY id) GROUP BY component")
-QUERIES["agg14_size_histogram"] = lambda spark, sf: G.size_histogram(_parties_wcc(spark, sf), "component").select("bin", "communities", "members")
-ORACLE_SQL["agg14_size_histogram"] = f"SELECT bin, count(*) AS communities, CAST(sum(size) AS BIGINT) AS members FROM (SELECT size, (SELECT max(b) FROM (VALUES (1), (2), (3), (4), (5), (6), (8), (10), (15), (20), (50), (100), (500), (1000), (10000)) t(b) WHERE b <= size) AS bin FROM ({ORACLE_SQL['gra19_community_sizes']})) GROUP BY bin"
+QUERIES["agg14_size_histogram"] = lambda spark, sf: G.size_histogram(_parties_wcc(spark, sf), "component")
+ORACLE_SQL["agg14_size_histogram"] = f"SELECT bin, count(*) AS communities, CAST(sum(size) AS BIGINT) AS members, round(avg(size), 4) AS mean_size, round(100 * count(*) / sum(count(*)) OVER (), 4) AS communities_pct, round(100 * sum(size) / sum(sum(size)) OVER (), 4) AS members_pct FROM (SELECT size, (SELECT max(b) FROM (VALUES (1), (2), (3), (4), (5), (6), (8), (10), (15), (20), (50), (100), (500), (1000), (10000)) t(b) WHERE b <= size) AS bin FROM ({ORACLE_SQL['gra19_community_sizes']})) GROUP BY bin"
 
 
 def _parties_wcc(spark: SparkSession, sf: str) -> DataFrame:
