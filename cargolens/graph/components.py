@@ -50,3 +50,16 @@ def components(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFram
     else:
         raise RuntimeError(f"no fixed point after {MAX_ROUNDS} rounds")
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).union(now.select("b", "b").distinct())
+
+
+def extended(state: DataFrame, edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
+    """Components after more edges: ``state`` (node, component) as ``components`` gives it,
+    of the edges so far. Only the graph of the components that the new edges connect is
+    run through; the others keep their rows."""
+    of = lambda end, name: state.select(F.col("node").alias(end), F.col("component").alias(name))
+    ends = edges.select(F.col(src).alias("a"), F.col(dst).alias("b")).filter("a is not null and b is not null and a <> b").distinct()
+    between = ends.join(of("a", "ca"), "a", "left").join(of("b", "cb"), "b", "left").select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))
+    over = materialize(components(between, "a", "b"), "over").select(F.col("node").alias("old"), F.col("component").alias("new"))
+    moved = state.join(over, state["component"] == over["old"], "left").select("node", F.coalesce("new", "component").alias("component"))
+    fresh = over.join(state.select("node"), over["old"] == state["node"], "left_anti").select(F.col("old").alias("node"), F.col("new").alias("component"))
+    return moved.unionByName(fresh)

@@ -7,8 +7,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..graph import build as B
 from ..graph.store import KeyedTable, detach_delete, repeated
 from ..session import work_dir
+from ..streaming.ingest import ComponentStream
 from . import fixtures as V
 from . import queries as Q
 
@@ -82,3 +84,20 @@ Q.QUERIES["ddp08_not_unique"] = lambda spark, sf: repeated(V.shipments(spark, sf
 Q.ORACLE_SQL["ddp08_not_unique"] = V.oracle('SELECT bill_of_lading, count(*) AS "rows" FROM shipments WHERE bill_of_lading IS NOT NULL GROUP BY 1 HAVING count(*) > 1')
 Q.QUERIES["adm_last_ids"] = lambda spark, sf: V.view(spark, sf, _nodes("true")).select("id").orderBy(F.desc("id")).limit(10)
 Q.ORACLE_SQL["adm_last_ids"] = f"SELECT id FROM ({V.oracle_text(_nodes('true'))}) ORDER BY id DESC LIMIT 10"
+
+
+def _wcc_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """The parties' components from files of a quarter each, taken in one after the other."""
+    quarter = F.quarter("arrival_date_actual").alias("part")
+    rows = B.container_rows(V.shipments(spark, sf)).select("shipper_name", "consignee_name", "notify_party_name", quarter)
+    ends = lambda a, key_a, b, key_b: rows.select("part", F.concat(F.lit(f"{a}:"), key_a).alias("src"), F.concat(F.lit(f"{b}:"), key_b).alias("dst"))
+    links = ends("Shipper", "shipper_name", "Consignee", "consignee_name").unionByName(ends("NotifyParty", "notify_party_name", "Consignee", "consignee_name"))
+    path = f"{work_dir(spark)}/wcc-stream-{uuid.uuid4().hex[:12]}"
+    links.na.drop().distinct().repartition("part").write.partitionBy("part").parquet(f"{path}/files")
+    return ComponentStream(spark, path).run(f"{path}/files")
+
+
+Q.QUERIES["gra02_wcc_stream"] = _wcc_stream
+_STREAM_SQL = Q.ORACLE_SQL["gra02_wcc"].replace("SELECT id, component, count(*) OVER (PARTITION BY component) AS size FROM", "SELECT id AS node, component FROM")
+# nodes without a link to another node are in no file
+Q.ORACLE_SQL["gra02_wcc_stream"] = f"{_STREAM_SQL} WHERE id IN (SELECT src FROM e UNION ALL SELECT dst FROM e)"
