@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ..session import materialize
 from .components import components
 from .project import Projection
+from .set_similarity import least_ids, similar_sets, top_k
 
 
 def degree(graph: Projection) -> DataFrame:
@@ -144,31 +145,9 @@ def pagerank_in_communities(graph: Projection, communities: DataFrame, **setting
 
 
 def jaccard(graph: Projection, k: int = 14, cutoff: float = 0.01, max_degree: int | None = None) -> DataFrame:
-    """The ``k`` most similar nodes of each node by the Jaccard index of their
-    neighbour sets. Pairs come from joining neighbour lists on the shared neighbour;
-    ``max_degree`` leaves out shared neighbours of more links, if given."""
-    links = graph.edges.select("src", "dst").distinct()
-    # pairs are far more than nodes: they carry numbers in the order of the ids
-    names = materialize(links.select(F.col("src").alias("id")).distinct().orderBy("id").withColumn("number", F.monotonically_increasing_id()), "jaccard")
-    links = links.join(names.select(F.col("id").alias("src"), "number"), "src").select(F.col("number").alias("src"), "dst")
-    sizes = links.groupBy("src").agg(F.count("*").alias("n"))
-    if max_degree is not None:
-        busy = links.groupBy("dst").agg(F.count("*").alias("n")).filter(F.col("n") > max_degree).select("dst")
-        shared = links.join(busy, "dst", "left_anti")
-    else:
-        shared = links
-    pairs = shared.select("dst", F.col("src").alias("a")).join(shared.select("dst", F.col("src").alias("b")), "dst").filter("a < b").groupBy("a", "b").agg(F.count("*").alias("both"))
-    scored = pairs.join(sizes.select(F.col("src").alias("a"), F.col("n").alias("na")), "a").join(sizes.select(F.col("src").alias("b"), F.col("n").alias("nb")), "b")
-    scored = scored.select("a", "b", (F.col("both") / (F.col("na") + F.col("nb") - F.col("both"))).alias("score")).filter(F.col("score") >= cutoff)
-    both = scored.unionByName(scored.select(F.col("b").alias("a"), F.col("a").alias("b"), "score"))
-    found = top_k(both.select(F.col("a").alias("src"), F.col("b").alias("dst"), "score"), k)
-    name = lambda end: names.select(F.col("number").alias(end), F.col("id").alias(f"{end}_id"))
-    return found.join(name("src"), "src").join(name("dst"), "dst").select(F.col("src_id").alias("src"), F.col("dst_id").alias("dst"), "score")
-
-
-def top_k(scores: DataFrame, k: int) -> DataFrame:
-    order = Window.partitionBy("src").orderBy(F.desc("score"), "dst")
-    return scores.withColumn("_r", F.row_number().over(order)).filter(F.col("_r") <= k).drop("_r")
+    """The ``k`` most similar nodes of each node by the Jaccard index of their neighbour
+    sets (``set_similarity``); ``max_degree`` leaves out shared neighbours of more links, if given."""
+    return similar_sets(graph.edges, k, cutoff, max_degree)
 
 
 def knn(nodes: DataFrame, properties: dict[str, str], k: int = 14) -> DataFrame:
@@ -188,7 +167,7 @@ def knn(nodes: DataFrame, properties: dict[str, str], k: int = 14) -> DataFrame:
     found = None
     for mask in range(1 << len(cols)):
         keys = ["label", *(c for i, c in enumerate(cols) if mask >> i & 1)]
-        least = _least_ids(values.na.drop(subset=keys), keys, k + 1)
+        least = least_ids(values.na.drop(subset=keys), keys, k + 1)
         hit = values.join(least, keys).select(F.col("id").alias("src"), F.explode("ids").alias("dst"))
         found = hit if found is None else found.unionByName(hit)
     pairs = found.filter("src <> dst").distinct()
@@ -198,15 +177,6 @@ def knn(nodes: DataFrame, properties: dict[str, str], k: int = 14) -> DataFrame:
     return top_k(scored, k)
 
 
-def _least_ids(values: DataFrame, keys: list[str], n: int, salts: int = 64) -> DataFrame:
-    """The ``n`` least ids of each key, first within salted parts of it."""
-    salted = values.select(*keys, "id", F.pmod(F.xxhash64("id"), F.lit(salts)).alias("_s"))
-    part = Window.partitionBy(*keys, "_s").orderBy("id")
-    few = salted.withColumn("_r", F.row_number().over(part)).filter(F.col("_r") <= n)
-    whole = few.groupBy(*keys).agg(F.slice(F.array_sort(F.collect_list("id")), 1, n).alias("ids"))  # at most salts * n
-    return whole
-
-
 # -- roll-ups and reports -----------------------------------------------------
 
 
