@@ -3,17 +3,15 @@
 from __future__ import annotations
 
 import re
-import unicodedata
 from collections.abc import Callable, Iterator, Sequence
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions import exprs as X
 from ..functions.company_words import LONG_WORDS, STOP_WORDS
+from ..functions.transliterate import ascii_text
 from ..graph.components import components
 from ..session import if_small, materialize
 
@@ -206,18 +204,6 @@ def match_names(names: DataFrame, choices: DataFrame, column: str) -> DataFrame:
 
 # -- company names ------------------------------------------------------------
 
-_SPECIAL = str.maketrans({"ß": "ss", "ẞ": "SS", "æ": "ae", "Æ": "AE", "œ": "oe", "Œ": "OE", "ø": "o", "Ø": "O", "đ": "d", "Đ": "D", "ł": "l", "Ł": "L", "ı": "i", "þ": "th", "Þ": "TH", "ð": "d", "Ð": "D"})
-
-
-def to_ascii(text: str) -> str:
-    return unicodedata.normalize("NFKD", text.translate(_SPECIAL)).encode("ascii", "ignore").decode()
-
-
-@F.pandas_udf(T.StringType())
-def transliterated(s: pd.Series) -> pd.Series:
-    return s.map(lambda t: t if t is None or t.isascii() else to_ascii(t))
-
-
 def prepared_name(c: str | Column, transliterate: bool = True, punctuation: bool = True, faithful: bool = True, long_words: dict[str, str] | None = LONG_WORDS) -> Column:
     """A company name ready for grouping; null for empty, digit-only and unknown ones.
     ``faithful`` leaves stop words in, as the published results have them."""
@@ -233,7 +219,7 @@ def prepared_name(c: str | Column, transliterate: bool = True, punctuation: bool
     ):
         x = F.regexp_replace(x, pattern, new)
     if transliterate:
-        x = F.upper(transliterated(x))
+        x = F.upper(ascii_text(x))
     if punctuation:
         x = F.replace(F.replace(x, F.lit("&"), F.lit(" AND ")), F.lit("+"), F.lit(" AND "))
         x = F.regexp_replace(x, "[^0-9A-Z]", " ")

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import exprs as X
+from ..functions.company_words import LONG_WORDS, STOP_WORDS
+from ..functions.transliterate import ascii_text
 from ..graph import algorithms as G
 from ..graph import build as B
 from ..graph import communities as K
@@ -532,6 +534,47 @@ def _companies(spark: SparkSession, sf: str) -> DataFrame:
     return V.view(spark, sf, COMPANIES).distinct()
 
 
+def _prepared_sql(name: str, stop_words: bool) -> str:
+    """Preparation of ASCII names, step by step."""
+    x = f"upper(trim({name}))"
+    for pattern, new in ((r"\d{2,}", " "), (r"C\WO", " "), (r"S\W?A\W*DE\W?C\W?V", " SA DE CV "), (r"\W+L\W?L\W?C", " LLC "), (r"\W+U\W?S\W?A", " USA "), (r"\(.*\)", " "), ("&", " AND "), (r"\+", " AND "), ("[^0-9A-Z]", " "), (r"\s+", " ")):
+        x = f"regexp_replace({x}, '{pattern}', '{new}', 'g')"
+    if stop_words:
+        words = "|".join(sorted(STOP_WORDS, key=lambda w: (-len(w), w))).replace("'", "''")
+        x = f"regexp_replace({x}, '\\b(?:{words})\\b', ' ', 'g')"
+    x = f"trim(regexp_replace({x}, '\\s+', ' ', 'g'))"
+    for word, short in LONG_WORDS.items():
+        x = f"replace({x}, '{word}', '{short}')"
+    return f"trim(regexp_replace({x}, '\\s+', ' ', 'g'))"
+
+
+def _prepared_oracle(view: str, stop_words: bool) -> str:
+    return V.oracle(f""", p AS (SELECT company, {_prepared_sql('company', stop_words)} AS x FROM (SELECT DISTINCT * FROM companies))
+SELECT company, CASE WHEN x <> '' AND x <> 'UNKNOWN' AND NOT regexp_matches(upper(trim(company)), '^\\d+$') THEN x END AS prepared FROM p""", companies=view)
+
+
+ORACLE_SQL["str03_prepared_names"] = _prepared_oracle(COMPANIES, False)
+
+#: Companies with words of the stop list before and after their names.
+ORDERS = """
+SELECT concat(CASE p_partkey % 5 WHEN 0 THEN 'TO THE ORDER OF ' WHEN 1 THEN 'ultimate consignee ' WHEN 2 THEN 'UNTO ' ELSE '' END, upper(p_name),
+  CASE p_partkey % 4 WHEN 0 THEN ' LIMITED' WHEN 1 THEN ' TRANSITOS' WHEN 2 THEN ' UNLESSER' ELSE ' & VARIOUS CONSIGNEES + CO' END) AS company FROM {part}
+"""
+QUERIES["str04_stop_words"] = lambda spark, sf: V.view(spark, sf, ORDERS).distinct().select("company", M.prepared_name("company", faithful=False).alias("prepared"))
+ORACLE_SQL["str04_stop_words"] = _prepared_oracle(ORDERS, True)
+
+#: Names spelt in Cyrillic, Greek or accented letters, or as they are.
+SCRIPTS = """
+SELECT CASE p_partkey % 4 WHEN 0 THEN translate(upper(p_name), 'ABVGDJZKLMNOPRSTUFCWYQXE', 'АБВГДЖЗКЛМНОПРСТУФЧЩЯЮХЭ') WHEN 1 THEN translate(upper(p_name), 'ABGDEZHQIKLMNXOPRSTUFCYW', 'ΑΒΓΔΕΖΗΘΙΚΛΜΝΞΟΠΡΣΤΥΦΧΨΩ')
+  WHEN 2 THEN translate(upper(p_name), 'AEIOUCN', 'ÀÉÎÖÜÇÑ') ELSE concat(upper(p_name), ' GROẞ Æ') END AS name FROM {part}
+"""
+QUERIES["str07_transliterated"] = lambda spark, sf: V.view(spark, sf, SCRIPTS).distinct().select("name", F.upper(ascii_text(F.col("name"))).alias("latin"))
+_SPELT = "translate(name, 'АБВГДЗКЛМНОПРСТУФЭΑΒΓΔΕΖΗΙΚΛΜΝΟΠΡΣΤΥΩÀÉÎÖÜÇÑ', 'ABVGDZKLMNOPRSTUFEABGDEZEIKLMNOPRSTUOAEIOUCN')"
+for _letter, _text in (("Ж", "ZH"), ("Ч", "CH"), ("Щ", "SHCH"), ("Я", "IA"), ("Ю", "IU"), ("Х", "KH"), ("Θ", "TH"), ("Ξ", "KS"), ("Φ", "PH"), ("Χ", "KH"), ("Ψ", "PS"), ("ẞ", "SS"), ("Æ", "AE")):
+    _SPELT = f"replace({_SPELT}, '{_letter}', '{_text}')"
+ORACLE_SQL["str07_transliterated"] = V.oracle(f"SELECT DISTINCT name, {_SPELT} AS latin FROM spelt", spelt=SCRIPTS)
+
+
 # -- graph tables -------------------------------------------------------------
 
 _N = "arrival_date_actual"
