@@ -241,7 +241,8 @@ def ngram_groups(names: DataFrame, column: str, n: int = 3, least: float = 0.8)
     Only n-grams in a name's prefix are joined on: with the rarest first, the rest
     of the (unit) vector is too short to reach ``least`` by itself, so a pair that
     does shares a gram of both prefixes. Nothing is lost, and frequent n-grams,
-    which would make the pairs many, are not joined on.
+    which would make the pairs many, are not joined on. Of the pairs with such a gram
+    only those go on whose remaining norms there can still reach ``least``.
     """
     distinct = materialize(names.select(F.col(column).alias("name")).filter("name is not null").distinct(), "names")
     total = distinct.count()
@@ -254,10 +255,12 @@ def ngram_groups(names: DataFrame, column: str, n: int = 3, least: float = 0.8)
     vectors = weighted.groupBy("name").agg(F.array_sort(F.collect_list(F.struct("df", "gram", "w"))).alias("v"), F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))  # one name's own grams
     vectors = vectors.select("name", F.transform("v", lambda x: F.struct(x["gram"].alias("gram"), (x["w"] / F.col("norm")).alias("w"))).alias("v"))
     vectors = materialize(vectors, "vectors")
-    start = F.struct(F.lit(1.0).alias("left"), F.array().cast("array<string>").alias("prefix"))
-    step = lambda acc, x: F.struct((acc["left"] - x["w"] * x["w"]).alias("left"), F.when(acc["left"] >= least * least - 1e-9, F.concat(acc["prefix"], F.array(x["gram"]))).otherwise(acc["prefix"]).alias("prefix"))
-    prefixes = vectors.select("name", F.explode(F.aggregate("v", start, step, lambda acc: acc["prefix"])).alias("gram"))
-    pairs = prefixes.select("gram", F.col("name").alias("a")).join(prefixes.select("gram", F.col("name").alias("b")), "gram").filter("a < b").select("a", "b").distinct()
+    start = F.struct(F.lit(1.0).alias("left"), F.array().cast("array<struct<gram:string,left:double>>").alias("prefix"))
+    step = lambda acc, x: F.struct((acc["left"] - x["w"] * x["w"]).alias("left"), F.when(acc["left"] >= least * least - 1e-9, F.concat(acc["prefix"], F.array(F.struct(x["gram"].alias("gram"), acc["left"].alias("left"))))).otherwise(acc["prefix"]).alias("prefix"))
+    prefixes = vectors.select("name", F.inline(F.aggregate("v", start, step, lambda acc: acc["prefix"])))
+    # from the first gram that both have on, neither is longer than what is left of it there
+    end = lambda e: prefixes.select("gram", F.col("name").alias(e), F.col("left").alias(f"left_{e}"))
+    pairs = end("a").join(end("b"), "gram").filter((F.col("a") < F.col("b")) & (F.col("left_a") * F.col("left_b") >= least * least - 1e-9)).select("a", "b").distinct()
     scored = pairs.join(vectors.select(F.col("name").alias("a"), F.col("v").alias("va")), "a").join(vectors.select(F.col("name").alias("b"), F.map_from_entries("v").alias("vb")), "b")
     dot = F.aggregate("va", F.lit(0.0), lambda acc, x: acc + x["w"] * F.coalesce(F.try_element_at("vb", x["gram"]), F.lit(0.0)))
     links = materialize(scored.select("a", "b", dot.alias("similarity")).filter(F.col("similarity") >= least), "similar")
