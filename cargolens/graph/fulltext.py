@@ -9,8 +9,9 @@ every document has is split over as many blocks as there are ranges.
 A search runs all its queries at once. The greatest shares of a query's terms in one
 range, summed, bound the score of each document there. The ranges with the best bounds
 are scored first; the k-th best score found is then a floor, and only ranges whose
-bound reaches it are read at all. Nothing is lost: a skipped block holds no document
-that could be among the best k.
+bound reaches it are read at all, those that can only equal it if they begin before the
+k-th document. Nothing is lost: a skipped block holds no document that could be among
+the best k. Queries with the same terms are searched once.
 
 Texts are split at everything but letters and digits and lower-cased. Scores are
 Lucene's BM25, ln(1 + (N - df + 0.5) / (df + 0.5)) * tf / (tf + k1 (1 - b + b len / mean)),
@@ -34,8 +35,8 @@ K1, B = 1.2, 0.75
 RANGE_BITS = 10
 #: Ranges that are scored first for each query.
 FIRST_RANGES = 4
-#: Rounding of scores, and the room it takes at the floor.
-PLACES, ROOM = 6, 1e-5
+#: Rounding of scores, and the room that sums of doubles take before it.
+PLACES, ROOM = 6, 1e-9
 
 
 def terms_of(*columns: str | Column) -> Column:
@@ -93,17 +94,24 @@ def _best(scores: DataFrame, k: int) -> DataFrame:
 def search(index: FullTextIndex, queries: DataFrame, query_key: str, text: str | Column, k: int = 10, steps: Steps | None = None) -> DataFrame:
     """``(query_key, rank, keys of the document, score)``: the best ``k`` documents of each query."""
     steps = steps or Steps(queries.sparkSession)
-    asked = queries.select(F.col(query_key).alias("query"), F.explode(F.array_distinct(terms_of(text))).alias("term"))
+    words = queries.select(F.col(query_key).alias("key"), F.explode(F.array_distinct(terms_of(text))).alias("term")).filter("key is not null").distinct()
+    words = words.join(index.terms.select("term"), "term", "left_semi")
+    named = steps.write(words.groupBy("key").agg(F.array_join(F.array_sort(F.collect_list("term")), " ").alias("terms")), "named")  # a query's terms
+    sets = steps.write(named.select("terms").distinct().withColumn("query", F.monotonically_increasing_id()), "asked-sets")
     idf = F.log(1 + (F.lit(index.size) - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    asked = steps.write(asked.filter("query is not null").distinct().join(index.terms, "term").select("query", "term", idf.alias("idf")), "asked")
-    bounds = index.blocks.select("term", "range", "most").join(if_small(asked), "term").groupBy("query", "range").agg(F.sum(F.col("idf") * F.col("most")).alias("bound"))
-    bounds = steps.write(bounds, "bounds")
+    asked = sets.select("query", F.explode(F.split("terms", " ")).alias("term")).join(index.terms, "term")
+    asked = steps.write(asked.select("query", "term", idf.alias("idf")), "asked")
+    top = F.round(F.sum(F.col("idf") * F.col("most")) + ROOM, PLACES)
+    bounds = steps.write(index.blocks.select("term", "range", "most").join(if_small(asked), "term").groupBy("query", "range").agg(top.alias("bound")), "bounds")
     best = bounds.withColumn("place", F.row_number().over(Window.partitionBy("query").orderBy(F.desc("bound"), "range"))).filter(F.col("place") <= FIRST_RANGES)
     first = steps.write(best, "first-ranges")
     scores = steps.write(_scored(index, asked, first), "first-scores")
-    floor = _best(scores, k).filter(F.col("rank") == k).select("query", F.col("score").alias("floor"))
-    rest = bounds.join(first.select("query", "range"), ["query", "range"], "left_anti").join(floor, "query", "left").filter(F.col("floor").isNull() | (F.col("bound") >= F.col("floor") - ROOM))
+    floor = _best(scores, k).filter(F.col("rank") == k).select("query", F.col("score").alias("floor"), F.col("doc").alias("last"))
+    # a range that can only equal the k-th score must begin before the k-th document
+    reaches = F.col("floor").isNull() | (F.col("bound") > F.col("floor")) | ((F.col("bound") == F.col("floor")) & (F.shiftleft("range", RANGE_BITS) < F.col("last")))
+    rest = bounds.join(first.select("query", "range"), ["query", "range"], "left_anti").join(floor, "query", "left").filter(reaches)
     more = steps.write(_scored(index, asked, steps.write(rest, "rest-ranges")), "more-scores")
-    scores = scores.join(floor, "query", "left").filter(F.col("floor").isNull() | (F.col("score") >= F.col("floor"))).drop("floor").unionByName(more)
-    found = _best(scores, k).join(index.docs.withColumnsRenamed({c: f"_{c}" for c in index.keys}), "doc")
+    scores = scores.join(floor.select("query", "floor"), "query", "left").filter(F.col("floor").isNull() | (F.col("score") >= F.col("floor"))).drop("floor").unionByName(more)
+    of = named.join(sets, "terms").select(F.col("key"), "query")
+    found = _best(scores, k).join(of, "query").drop("query").withColumnRenamed("key", "query").join(index.docs.withColumnsRenamed({c: f"_{c}" for c in index.keys}), "doc")
     return found.select(F.col("query").alias(query_key), "rank", *(F.col(f"_{c}").alias(c if c != query_key else f"found_{c}") for c in index.keys), "score")

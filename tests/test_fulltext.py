@@ -69,6 +69,25 @@ def test_bounds_skip_blocks(spark, monkeypatch):
     assert blocks.count() >= 2000 >> 4 and blocks.selectExpr("max(size(offsets)) as m").first()["m"] <= 16
 
 
+def test_equal_queries_run_once_and_ties_skip_ranges(spark, monkeypatch):
+    """All documents score alike, so only the first ranges can hold the least keys."""
+    monkeypatch.setattr(T, "RANGE_BITS", 4)
+    docs = [(i, f"berth nation{i % 2} d{i:05d}") for i in range(2000)]
+    queries = [(q, f"nation{q % 2} berth" if q % 3 else f"Berth, nation{q % 2}") for q in range(60)]
+    index = T.build_index(spark.createDataFrame(docs, "id long, text string").coalesce(1), ["id"], ["text"])
+    kept = {}
+    write = Steps.write
+
+    def noted(self, df, name):
+        kept[name] = out = write(self, df, name)
+        return out
+
+    monkeypatch.setattr(Steps, "write", noted)
+    got = T.search(index, spark.createDataFrame(queries, "query long, asked string"), "query", "asked", 3)
+    assert rows(got) == rounded(brute(docs, queries, 3))
+    assert kept["bounds"].count() == 2 * 2000 // 16 and kept["rest-ranges"].count() == 0
+
+
 def test_empty_index_and_no_queries(spark):
     docs = spark.createDataFrame([(1, "a b")], "id long, text string")
     queries = spark.createDataFrame([(1, "a")], "query long, asked string")
