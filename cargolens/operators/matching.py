@@ -13,7 +13,7 @@ from ..functions import exprs as X
 from ..functions.company_words import LONG_WORDS, STOP_WORDS
 from ..functions.transliterate import ascii_text
 from ..graph.components import components
-from ..session import if_small, materialize
+from ..session import if_small, materialize, spread
 
 # -- scorers ------------------------------------------------------------------
 
@@ -77,7 +77,8 @@ def _grams(key: Column, q: int) -> Column:
     in another order have the same grams of two."""
     text = F.concat(F.lit(" "), key, F.lit(" ")) if q == 2 else key
     listed = F.array_sort(F.transform(F.sequence(F.lit(1), F.length(text) - (q - 1)), lambda i: F.substring(text, i, F.lit(q))))
-    return F.transform(listed, lambda g, i: F.concat(g, (i + 2 - F.array_position(listed, g)).cast("string")))
+    # bound to a variable, or the sorted list would be made again for each of its grams
+    return F.transform(F.array(listed), lambda all_: F.transform(all_, lambda g, i: F.concat(g, (i + 2 - F.array_position(all_, g)).cast("string"))))[0]
 
 
 def _mask(parts: Column, seed: int) -> Column:
@@ -130,7 +131,8 @@ def _by_grams(names: DataFrame, choices: DataFrame, cutoff: float) -> DataFrame:
     fits = (n >= _least(m, cutoff)) & (m >= _least(n, cutoff)) & room & (_lacks("c_a", "c_b") <= m - common) & (_lacks("c_b", "c_a") <= n - common)
     for mask in ("g", "h") if q == 2 else ():
         fits = fits & (_lacks(f"{mask}_a", f"{mask}_b") <= 2 * (m - common) + (n - common))
-    return a.join(b, "part").filter(fits).select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct()
+    pairs = spread(a, "part").join(spread(b, "part"), "part").filter(fits).select(F.col("id_a").alias("a"), F.col("id_b").alias("b"))
+    return spread(pairs, "a", "b").distinct()
 
 
 def _by_tokens(names: DataFrame, choices: DataFrame, cutoff: float) -> DataFrame:
@@ -145,8 +147,8 @@ def _by_tokens(names: DataFrame, choices: DataFrame, cutoff: float) -> DataFrame
     rarity = materialize(_rarity(choices, words), "words")
     all_a, all_b = (x.select(F.col("id").alias(side), F.explode(F.array_distinct(words)).alias("part"), F.length("key").alias("n")) for x, side in ((names, "a"), (choices, "b")))
     few_a, few_b = (_fronts(x, F.array_distinct(words), rarity, long).select(F.col("id").alias(side), "part", need.alias("need")) for x, side in ((names, "a"), (choices, "b")))
-    pair = lambda few, every: few.join(every, "part").filter("n >= need").select("a", "b")
-    return pair(few_a, all_b).unionByName(pair(few_b, all_a)).distinct()
+    pair = lambda few, every: spread(few, "part").join(spread(every, "part"), "part").filter("n >= need").select("a", "b")
+    return spread(pair(few_a, all_b).unionByName(pair(few_b, all_a)), "a", "b").distinct()
 
 
 def candidates(names: DataFrame, choices: DataFrame, scorer: str, cutoff: int) -> DataFrame:
@@ -154,26 +156,20 @@ def candidates(names: DataFrame, choices: DataFrame, scorer: str, cutoff: int) -
     reach ``cutoff``; found by equi-joins, never by comparing each with each."""
     least = cutoff - 0.5  # scores are rounded
     pairs = _by_grams(names, choices, least)
-    return pairs.unionByName(_by_tokens(names, choices, least)).distinct() if scorer == "token_set_ratio" else pairs
+    return spread(pairs.unionByName(_by_tokens(names, choices, least)), "a", "b").distinct() if scorer == "token_set_ratio" else pairs
 
 
 #: Scores of two keys of equal kind.
 KEY_SCORERS = {"ratio": ratio, "token_sort_ratio": ratio, "token_set_ratio": lambda a, b: _set_ratio(set(a.split()), set(b.split()))}
 
 
-def fuzzy_match(names: DataFrame, choices: DataFrame, column: str, scorer: str = "token_sort_ratio", cutoff: int = 80) -> DataFrame:
-    """``(column, match, score)`` for the distinct names: the best choice of at least
-    ``cutoff``, itself if it is a choice, else the least of equally good ones; null and 0
-    if there is none. Only candidates of lossless blocks are scored."""
-    distinct = names.select(F.col(column).alias("name")).filter("name is not null").distinct()
-    listed = choices.select(F.col(choices.columns[0]).alias("name")).filter("name is not null").distinct()
-    distinct = materialize(distinct.join(listed.withColumn("exact", F.lit(True)), "name", "left"), "names")
-    key = F.col("name") if scorer == "ratio" else sorted_tokens("name", distinct=scorer == "token_set_ratio")
-    keyed = lambda df: df.select("name", key.alias("key")).filter("key <> ''")
-    # what has the same key is one; of choices the least name stands for it
-    one = lambda df: df.groupBy("key").agg(F.min("name").alias("least")).withColumn("id", F.monotonically_increasing_id())
-    open_ = materialize(keyed(distinct.filter("exact is null")), "open")
-    asked, answers = materialize(one(open_), "asked"), materialize(one(keyed(listed)), "choices")
+#: Scores that are asked for first, one after the other, above the cutoff, and the products of names and choices
+#: from which on they are: the higher the score, the fewer the candidates, and most names have a near choice.
+RUNGS, RUNGS_FROM = (90,), 20_000_000
+
+
+def _best(asked: DataFrame, answers: DataFrame, scorer: str, cutoff: int) -> DataFrame:
+    """``(a, t)``: the best choice ``t`` (k: its score below 0, least: its name) of each asked id that has one of at least ``cutoff``."""
     pairs = candidates(asked.select("id", "key"), answers.select("id", "key"), scorer, cutoff)
     texts = pairs.join(asked.select(F.col("id").alias("a"), F.col("key").alias("ka")), "a").join(answers.select(F.col("id").alias("b"), F.col("key").alias("kb"), "least"), "b")
 
@@ -185,7 +181,31 @@ def fuzzy_match(names: DataFrame, choices: DataFrame, column: str, scorer: str =
             yield out.filter(pa.array([s >= cutoff for s in scores], pa.bool_()))
 
     scored = texts.select("a", "ka", "kb", "least").mapInArrow(run, "a long, least string, score int")
-    best = scored.groupBy("a").agg(F.min(F.struct((-F.col("score")).alias("k"), "least")).alias("t"))
+    return scored.groupBy("a").agg(F.min(F.struct((-F.col("score")).alias("k"), "least")).alias("t"))
+
+
+def fuzzy_match(names: DataFrame, choices: DataFrame, column: str, scorer: str = "token_sort_ratio", cutoff: int = 80, rungs_from: int = RUNGS_FROM) -> DataFrame:
+    """``(column, match, score)`` for the distinct names: the best choice of at least
+    ``cutoff``, itself if it is a choice, else the least of equally good ones; null and 0
+    if there is none. Only candidates of lossless blocks are scored; in large tables first
+    those of high scores, so that only names without such a choice go on to lower ones."""
+    distinct = names.select(F.col(column).alias("name")).filter("name is not null").distinct()
+    listed = choices.select(F.col(choices.columns[0]).alias("name")).filter("name is not null").distinct()
+    distinct = materialize(distinct.join(listed.withColumn("exact", F.lit(True)), "name", "left"), "names")
+    key = F.col("name") if scorer == "ratio" else sorted_tokens("name", distinct=scorer == "token_set_ratio")
+    keyed = lambda df: df.select("name", key.alias("key")).filter("key <> ''")
+    # what has the same key is one; of choices the least name stands for it
+    one = lambda df: df.groupBy("key").agg(F.min("name").alias("least")).withColumn("id", F.monotonically_increasing_id())
+    open_ = materialize(keyed(distinct.filter("exact is null")), "open")
+    asked, answers = (materialize(spread(one(x)), n) for x, n in ((open_, "asked"), (keyed(listed), "choices")))
+    # a name that has a choice at a rung has its best there, with all that are as good
+    steps = [r for r in RUNGS if r > cutoff] if asked.count() * answers.count() >= rungs_from else []
+    best, left = None, asked
+    for rung in (*steps, cutoff):
+        found = materialize(_best(left, answers, scorer, rung), "best")
+        best = found if best is None else best.unionByName(found)
+        if rung > cutoff:
+            left = materialize(spread(left.join(found.select(F.col("a").alias("id")), "id", "left_anti")), "left")
     best = best.join(asked.select(F.col("id").alias("a"), "key"), "a").select("key", F.col("t.least").alias("match"), (-F.col("t.k")).alias("score"))
     found = open_.join(best, "key").select("name", "match", "score")
     out = distinct.join(found, "name", "left")

@@ -125,3 +125,14 @@ def test_whole_queries_of_standardised_vessels(spark, sf, query, rows, registry)
     rows = [tuple(r) for r in Q.V.view(spark, sf, rows).select("shipment_id", "vessel_imo", "vessel_name", "vessel_type").collect()]
     registry = [tuple(r) for r in Q.V.view(spark, sf, registry).select("vessel_name", "vessel_imo", "vessel_type").collect()]
     assert sorted(got, key=key) == sorted(standardised(rows, registry), key=key)
+
+
+@pytest.mark.parametrize("scorer, cutoff", [("token_sort_ratio", 80), ("token_set_ratio", 80), ("ratio", 80), ("token_set_ratio", 61)])
+def test_names_with_a_near_choice_leave_before_the_cutoff(spark, monkeypatch, scorer, cutoff):
+    names, choices = misspelt(cutoff + 1)
+    choices = choices if scorer != "ratio" else [c and c.upper() for c in choices]
+    asked, candidates = {}, M.candidates
+    monkeypatch.setattr(M, "candidates", lambda a, b, s, least: (asked.update({least: a.count()}), candidates(a, b, s, least))[1])
+    a, b = (spark.createDataFrame([(x,) for x in xs], "name string") for xs in (names, choices))
+    assert found(M.fuzzy_match(a, b, "name", scorer, cutoff, rungs_from=0)) == brute(names, choices, scorer, cutoff)
+    assert list(asked) == [*(r for r in M.RUNGS if r > cutoff), cutoff] and asked[cutoff] < asked[M.RUNGS[0]]
