@@ -33,3 +33,20 @@ def test_missing_columns_are_passed_over(spark, sf):
     raw = V.view(spark, sf, P.RAW).select("row_id", "actual_arrival_date", "estimate_arrival_date", F.lit(None).cast("string").alias("vessel_imo"), F.upper(F.trim("vessel_name")).alias("vessel_name"), F.lit("container_ship").alias("vessel_type"), "weight")
     got = P.process(raw, *(V.view(spark, sf, x) for x in (V.REGISTRY, V.PORTS, V.HSCODES)))
     assert got.count() == raw.count() and "weight_outliers_off" in got.columns and "hscode_02" not in got.columns
+
+
+def test_small_lookups_leave_the_rows_where_they_are(spark):
+    from cargolens.operators import cleaning, matching
+
+    rows = spark.createDataFrame([("1", "A", "ACME INC", "X"), (None, "A", "ACME INC", None), ("2", None, "BOLT CO", "Y"), ("2", "B", "12", "7 Z")], "vessel_imo string, vessel_name string, company string, address string")
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # of itself Spark broadcasts nothing
+    try:
+        filled = cleaning.fill_each_other(rows)
+        grouped = matching.group_companies(rows, "company", "address", dedupe=False)
+        for out in (filled, grouped):
+            assert "hashpartitioning" not in out._jdf.queryExecution().executedPlan().toString()
+        assert sorted(map(tuple, filled.select("vessel_imo", "vessel_name").collect())) == [("1", "A"), ("1", "A"), ("2", "B"), ("2", "B")]
+        assert [r["address"] for r in grouped.filter("vessel_name = 'A'").collect()] == ["X", "X"]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
