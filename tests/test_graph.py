@@ -63,3 +63,46 @@ def test_catalog(spark):
     c = Catalog()
     c.put("g", graph(spark, [("a", "b")]))
     assert c.list() == ["g"] and c.drop("g") and not c.drop("g")
+
+
+def test_components_take_few_rounds_over_all_edges_and_hold_on_random_graphs(spark, monkeypatch):
+    import random
+
+    from cargolens.graph import components as C
+
+    rng, sizes = random.Random(4), []
+    stars = C._starred
+    monkeypatch.setattr(C, "_starred", lambda now: sizes.append(now.count()) or stars(now))
+    edges = [(f"v{rng.randrange(120):03d}", f"v{rng.randrange(120):03d}") for _ in range(90)] + [(f"b{i}", f"c{j}") for i in range(9) for j in range(9)] + [(None, "b1"), ("x", "x")]
+    got = {r["node"]: r["component"] for r in components(spark.createDataFrame(edges, "src string, dst string")).collect()}
+    want = {v: v for e in edges for v in e if None not in e and e[0] != e[1]}
+    for _ in want:
+        for a, b in edges:
+            if a in want and b in want:
+                want[a] = want[b] = min(want[a], want[b])
+    assert got == want
+    assert max(sizes) < len(want)  # only the edges to least neighbours go through the stars, not all
+
+
+def test_strong_components_of_edges_both_ways_and_rings_of_them(spark, monkeypatch):
+    spread, rounds = G._spread, []
+    monkeypatch.setattr(G, "_spread", lambda *a: rounds.append(1) or spread(*a))
+    mutual = [("a", "b"), ("b", "a"), ("c", "d"), ("d", "c"), ("x", "y"), ("y", "x"), ("y", "y")]
+    assert column(G.scc(graph(spark, mutual, ["z"])), "component") == {"a": "a", "b": "a", "c": "c", "d": "c", "x": "x", "y": "x", "z": "z"}
+    assert not rounds  # nothing is left to colour
+    ring = [*mutual, ("b", "c"), ("d", "a"), ("d", "x")]
+    assert column(G.scc(graph(spark, ring)), "component") == {"a": "a", "b": "a", "c": "a", "d": "a", "x": "x", "y": "x"}
+
+
+def test_label_propagation_of_numbered_labels(spark, monkeypatch):
+    edges = [(f"{c}{i}", f"{c}{j}") for c in "ab" for i in range(4) for j in range(i)] + [("a0", "b0")]
+    near = {}
+    for a, b in edges:
+        near.setdefault(a, []).append(b)
+        near.setdefault(b, []).append(a)
+    now = {v: v for v in near}
+    for _ in range(10):
+        now = {v: min((-sum(now[w] == c for w in near[v]), c) for c in {now[w] for w in near[v]})[1] for v in near}
+    for most in (G.LABELS, 0):
+        monkeypatch.setattr(G, "LABELS", most)
+        assert column(G.label_propagation(graph(spark, edges, ["z"])), "community") == now | {"z": "z"}
