@@ -45,7 +45,7 @@ def op3_counterfactual_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_closed_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return syncmers.fingerprints(table(spark, sf_dir, "documents"))
+    return syncmers.fingerprints(table(spark, sf_dir, "documents"), written=syncmers.to_compact)
 
 
 def op5_markov_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,7 +9,8 @@ text shorter than k is a k-mer of its own and its only anchor. Texts of every
 length are treated alike: about two anchors in k - s + 1 characters. Likeness is
 the Jaccard index of the anchors, where common ones count that lie on the
 commonest shift between the two texts or next to another on the same shift, so
-that chance matches at scattered places don't count.
+that chance matches at scattered places don't count. ``to_compact`` writes the same
+anchors in six characters each, under half as many, and ``from_compact`` reads them.
 
 To give each row its successor, rows are dealt into ranges of ids whose bounds
 are quantiles; an id that fills several ranges is split by a hash of the text.
@@ -28,7 +29,7 @@ from __future__ import annotations
 
 import hashlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -47,6 +48,12 @@ _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 _S32, _LOW, _SIDE = np.uint64(32), np.uint64((1 << 32) - 1), np.uint64(1 << 31)
 _TENS = 10 ** np.arange(10, dtype=np.int64)
 _HEX = np.frombuffer(b"0123456789abcdef", np.uint8)
+_SIXTY_FOUR = np.frombuffer(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_", np.uint8)
+_OF_CHAR = np.zeros(128, np.uint64)
+_OF_CHAR[_SIXTY_FOUR] = np.arange(64, dtype=np.uint64)
+#: Characters of an anchor in the compact form; they hold its hash and, in ``_STEP`` bits, how far it is from the one before.
+_CHARS, _STEP = 6, np.uint64(4)
+_FAR = np.uint64(15)
 
 
 def _hashes(codes: np.ndarray, k: int) -> np.ndarray:
@@ -129,6 +136,35 @@ def to_text(print_: np.ndarray) -> str:
     return out[used].tobytes()[:-1].decode("ascii")
 
 
+def to_compact(print_: np.ndarray) -> str:
+    """All anchors by position, each in ``_CHARS`` characters: 32 bits of hash, then the step from the anchor before
+    (from -1 for the first) less 1. A step above 15 is 15 there and follows in as many characters of its own."""
+    turned = np.sort(print_ << _S32 | print_ >> _S32)
+    step = np.diff((turned >> _S32).astype(np.int64), prepend=-1).astype(np.uint64) - np.uint64(1)
+    words = (turned & _LOW) << _STEP | np.minimum(step, _FAR)
+    far = np.flatnonzero(step >= _FAR)
+    if len(far):
+        words = np.insert(words, far + 1, step[far])
+    shifts = np.arange(6 * (_CHARS - 1), -1, -6, dtype=np.uint64)
+    return _SIXTY_FOUR[(words[:, None] >> shifts & np.uint64(63)).astype(np.int64)].tobytes().decode("ascii")
+
+
+def from_compact(text: str) -> np.ndarray:
+    """The fingerprint that ``to_compact`` has written."""
+    words = np.zeros(len(text) // _CHARS, np.uint64)
+    for column in _OF_CHAR[np.frombuffer(text.encode("ascii"), np.uint8)].reshape(-1, _CHARS).T:
+        words = words << np.uint64(6) | column
+    out, at, i = [], -1, 0
+    while i < len(words):
+        word, i = int(words[i]), i + 1
+        step = word & int(_FAR)
+        if step == int(_FAR):
+            step, i = int(words[i]), i + 1
+        at += step + 1
+        out.append(word >> int(_STEP) << 32 | at)
+    return np.sort(np.array(out, np.uint64))
+
+
 def likeness(x: np.ndarray, y: np.ndarray) -> float:
     if np.array_equal(x, y):
         return 1.0
@@ -209,9 +245,10 @@ def with_successor(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return dealt.select("to.range", "to.halo", "id", "text", "key", "tie").repartition("range").sortWithinPartitions("range", "halo", "key", "tie", "text").drop("key", "tie")
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", written: Callable[[np.ndarray], str] = to_text) -> DataFrame:
     """Per row: the fingerprints of its text and of its edited text, and how like
-    the first is to the second and to its successor's."""
+    the first is to the second and to its successor's. ``written``: how fingerprints
+    are written, ``to_text`` or ``to_compact``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = None  # (range, id, text, codes, anchors, fingerprint)
@@ -235,7 +272,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                     _, prior, before, had, anchors_, print_ = last
                     new = edited(before, text)
                     changed = print_ if new == before else after_edit(had, anchors_, codes)
-                    out.append((prior, len(had), hashlib.sha256(new.encode()).hexdigest(), to_text(print_), to_text(changed), likeness(print_, changed), likeness(print_, own)))
+                    out.append((prior, len(had), hashlib.sha256(new.encode()).hexdigest(), written(print_), written(changed), likeness(print_, changed), likeness(print_, own)))
                     size += len(out[-1][3]) + len(out[-1][4])
                     if size > OUT_CHARS:
                         yield packed(out)
