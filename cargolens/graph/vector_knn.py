@@ -19,46 +19,63 @@ repeat an id the least vector counts; ties go to the least id.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import Steps
 
-#: Nodes of a random group, and neighbourhoods that go to pandas at once.
+#: Nodes of a random group, and neighbourhoods that go to a task's Python at once.
 GROUP, AT_ONCE = 96, 64
+#: Scores that are computed at once.
+CELLS = 1 << 20
 ROUNDS = 30
 
 
 def _alike(v: np.ndarray, metric: str) -> np.ndarray:
+    """How alike the vectors (the last two axes) of each place are."""
     if metric == "COSINE":  # from 0 (opposite) to 1
-        size = np.linalg.norm(v, axis=1, keepdims=True)
+        size = np.linalg.norm(v, axis=-1, keepdims=True)
         unit = v / np.where(size > 0, size, 1)
-        return (1 + unit @ unit.T) / 2
-    square = (v * v).sum(axis=1)
-    return 1 / (1 + np.sqrt(np.maximum(0, square[:, None] + square[None, :] - 2 * v @ v.T)))
-
-
-def _compared(rows: pd.DataFrame, metric: str, k: int) -> pd.DataFrame:
-    """Pairs of each place's nodes that are better than the floors of their ends: columns src, dst, score."""
-    out = []
-    for _, own in rows.groupby("place", sort=False):
-        own = own.sort_values("fresh", ascending=False).drop_duplicates("id")
-        if len(own) < 2:
-            continue
-        ids, floor, fresh = own["id"].to_numpy(), own["floor"].to_numpy(), own["fresh"].to_numpy()
-        alike = _alike(np.stack(own["v"].to_numpy()).astype(np.float64), metric)
+        return (1 + unit @ unit.swapaxes(-1, -2)) / 2
+    square = (v * v).sum(axis=-1)
+    return 1 / (1 + np.sqrt(np.maximum(0, square[..., :, None] + square[..., None, :] - 2 * v @ v.swapaxes(-1, -2))))
+
+
+def _compared(rows: pa.Table, metric: str, k: int) -> pa.Table:
+    """Pairs of each place's nodes that are better than the floors of their ends: columns src, dst, score. Places
+    of about the same size are compared at once."""
+    place, ids, floor = (rows.column(c).to_numpy() for c in ("place", "id", "floor"))
+    fresh = rows.column("fresh").to_numpy(zero_copy_only=False).astype(bool)
+    order = np.lexsort((~fresh, ids, place))  # of a node that is there twice the fresh row counts
+    new = np.r_[True, (place[order][1:] != place[order][:-1]) | (ids[order][1:] != ids[order][:-1])] if len(order) else np.zeros(0, bool)
+    order = order[new]
+    starts = np.flatnonzero(np.r_[True, place[order][1:] != place[order][:-1]]) if len(order) else np.empty(0, np.int64)
+    sizes = np.diff(np.append(starts, len(order)))
+    by_size = np.argsort(sizes, kind="stable")
+    by_size = by_size[sizes[by_size] > 1]
+    vectors, out = rows.column("v").combine_chunks(), []
+    if len(by_size):
+        values = vectors.flatten().to_numpy().astype(np.float64).reshape(len(vectors), -1)
+    at = 0
+    while at < len(by_size):
+        to = at + 1  # as many places as fit, filled up to the size of the largest
+        while to < len(by_size) and (to - at + 1) * int(sizes[by_size[to]]) ** 2 <= CELLS:
+            to += 1
+        chosen, m = by_size[at:to], int(sizes[by_size[to - 1]])
+        at = to
+        seat = np.arange(m)
+        real = seat < sizes[chosen][:, None]
+        row = order[np.where(real, starts[chosen][:, None] + seat, 0)]
         # scores are rounded, so that they do not depend on the order of a sum
-        alike = np.round(alike, 9)
-        np.fill_diagonal(alike, -1.0)
-        good = (fresh[:, None] | fresh[None, :]) & (alike >= floor[:, None])
-        np.fill_diagonal(good, False)
-        if len(ids) > k + 1:  # no more than k of a place can be among a node's best
-            best = np.argpartition(-np.where(good, alike, -2.0), k, axis=1)[:, k]
-            good &= alike >= alike[np.arange(len(ids)), best][:, None]
-        i, j = np.nonzero(good)
-        out.append(pd.DataFrame({"src": ids[i], "dst": ids[j], "score": alike[i, j]}))
-    return pd.concat(out) if out else pd.DataFrame({"src": np.empty(0, np.int64), "dst": np.empty(0, np.int64), "score": np.empty(0)})
+        alike = np.round(_alike(values[row], metric), 9)
+        good = real[:, :, None] & real[:, None, :] & (seat[:, None] != seat) & (fresh[row][:, :, None] | fresh[row][:, None, :]) & (alike >= floor[row][:, :, None])
+        if m > k + 1:  # no more than k of a place can be among a node's best
+            good &= alike >= -np.partition(-np.where(good, alike, -2.0), k, axis=2)[:, :, k : k + 1]
+        place_, i, j = np.nonzero(good)
+        out.append((ids[row[place_, i]], ids[row[place_, j]], alike[place_, i, j]))
+    columns = [np.concatenate(x) for x in zip(*out, strict=True)] if out else [np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)]
+    return pa.table(dict(zip(("src", "dst", "score"), columns, strict=True)))
 
 
 def _best(pairs: DataFrame, k: int) -> DataFrame:
@@ -69,13 +86,14 @@ def _best(pairs: DataFrame, k: int) -> DataFrame:
 def _run(members: DataFrame, metric: str, k: int, buckets: int) -> DataFrame:
     """``members``: (place, id, v, floor, fresh)."""
     dealt = members.withColumn("bucket", F.pmod(F.xxhash64("place"), F.lit(buckets)))
-    return dealt.groupBy("bucket").applyInPandas(lambda rows: _compared(rows, metric, k), "src long, dst long, score double")
+    return dealt.groupBy("bucket").applyInArrow(lambda rows: _compared(rows, metric, k), "src long, dst long, score double")
 
 
 def nearest(nodes: DataFrame, vector: str, k: int = 14, metric: str = "COSINE", id_col: str = "id", sample: float = 0.5, delta: float = 0.001, rounds: int = ROUNDS, seed: int = 42) -> DataFrame:
     """``(src, dst, score, rank)``: the ``k`` nearest nodes found for each node (ids as longs)."""
     steps = Steps(nodes.sparkSession)
-    rows = nodes.select(F.col(id_col).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v"))
+    kept = "array<float>" if dict(nodes.dtypes)[vector] == "array<float>" else "array<double>"  # half the bytes to send, the same numbers
+    rows = nodes.select(F.col(id_col).cast("long").alias("id"), F.col(vector).cast(kept).alias("v"))
     fine = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     rows = rows.filter(F.col("id").isNotNull() & F.col("v").isNotNull() & (F.size("v") > 0) & fine).groupBy("id").agg(F.min("v").alias("v"))
     rows = steps.write(rows, "vectors")
