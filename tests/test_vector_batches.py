@@ -16,7 +16,7 @@ def test_good_pairs_are_kept_beside_better_ones_that_are_known_already(monkeypat
     want = set()
     for p in set(place.tolist()):
         own = {}
-        for i in sorted(np.flatnonzero(place == p), key=lambda i: -fresh[i]):
+        for i in sorted(np.flatnonzero(place == p), key=lambda i: not fresh[i]):
             own.setdefault(ids[i], i)
         for a, i in own.items():
             alike = {b: round((1 + v[i] @ v[j] / np.linalg.norm(v[i]) / np.linalg.norm(v[j])) / 2, 9) for b, j in own.items() if a != b and (fresh[i] or fresh[j])}
